@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BUCKETS = 4_096
+NARROW_ENOUGH = 100_000
+NARROWING = 0.005
 GRID_BUCKETS = 64
 
 
@@ -129,53 +131,69 @@ def quantile_of(table: DataFrame, share: float, out: str = "quantile") -> DataFr
 def column_quantiles(df: DataFrame, columns: list[str], share: float) -> dict[str, float]:
     """The exact quantile of several columns at once (nulls left out), as numbers on the driver.
 
-    Columns are bucketed each by its own split points, counted per distinct value in one shuffle,
-    and cumulated per column and bucket, as in a rank table.
+    Selection by narrowing: approximate quantiles put a bracket around the wanted place, one pass
+    counts what lies below and inside it, and brackets that still hold many rows are narrowed
+    again. Only the values inside the last brackets are counted one by one; nothing else is
+    shuffled, and nothing is sorted as a whole.
     """
     typed = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-    found = split_points(typed, columns)
-    for c in columns:
-        typed = bucketed(typed, c, found[c], f"_bucket_{c}")
-    cells = [
-        F.struct(F.lit(c).alias("name"), F.col(f"_bucket_{c}").alias("_bucket"), F.col(c).alias("score"))
-        for c in columns
-    ]
+    brackets = {c: (-math.inf, math.inf) for c in columns}
+
+    def inside(c: str) -> Column:
+        low, high = brackets[c]
+        return F.when((F.col(c) >= F.lit(low)) & (F.col(c) <= F.lit(high)), F.col(c))
+
+    def counts() -> dict[str, tuple[int, int, int]]:
+        row = typed.agg(
+            *[F.count(c).alias(f"total_{c}") for c in columns],
+            *[F.count_if(F.col(c) < F.lit(brackets[c][0])).alias(f"below_{c}") for c in columns],
+            *[F.count(inside(c)).alias(f"inside_{c}") for c in columns],
+        ).first()
+        return {c: (row[f"total_{c}"], row[f"below_{c}"], row[f"inside_{c}"]) for c in columns}
+
+    found = counts()
+    wide = [c for c in columns if found[c][2] > NARROW_ENOUGH]
+    while wide:
+        near = typed.select(*[inside(c).alias(c) for c in wide])
+        ends = {}
+        for c in wide:
+            total, below, size = found[c]
+            place = ((total - 1) * share - below) / size
+            ends[c] = [max(place - NARROWING, 0.0), min(place + NARROWING, 1.0)]
+        points = sorted({e for pair in ends.values() for e in pair})
+        values = dict(zip(wide, near.approxQuantile(wide, points, NARROWING / 2)))
+        tried = {c: tuple(values[c][points.index(e)] for e in ends[c]) for c in wide}
+        before, brackets = brackets, {**brackets, **tried}
+        checked = counts()
+        for c in wide:
+            total, below, size = checked[c]
+            place = (total - 1) * share
+            if not (below <= math.floor(place) and math.ceil(place) < below + size):
+                brackets[c] = before[c]  # the approximation missed the place; keep the wider one
+        kept = [c for c in wide if brackets[c] == before[c]]
+        found = counts() if kept else checked
+        wide = [c for c in wide if c not in kept and found[c][2] > NARROW_ENOUGH and brackets[c][0] < brackets[c][1]]
+
+    cells = [F.struct(F.lit(i).alias("i"), inside(c).alias("score")) for i, c in enumerate(columns)]
     counted = (
         typed.select(F.inline(F.array(*cells)))
         .filter(F.col("score").isNotNull())
-        .groupBy("name", "_bucket", "score")
+        .groupBy("i", "score")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    per_column = Window.partitionBy("name").orderBy("_bucket")
-    shifts = (
-        counted.groupBy("name", "_bucket")
-        .agg(F.sum("n").alias("_n"))
-        .select(
-            "name",
-            "_bucket",
-            F.coalesce(
-                F.sum("_n").over(per_column.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("_below"),
-            F.sum("_n").over(Window.partitionBy("name")).alias("total"),
-        )
-    )
-    inside = Window.partitionBy("name", "_bucket").orderBy("score")
-    table = (
-        counted.withColumn("_upto", F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        # At most MAX_BUCKETS + 1 rows per column, whatever the data.
-        .join(F.broadcast(shifts), ["name", "_bucket"])
-        .withColumn("upto", F.col("_upto") + F.col("_below"))
-    )
-    place = (F.col("total") - 1) * F.lit(float(share))
-    before = F.col("upto") - F.col("n")
+    below = F.element_at(F.array(*[F.lit(found[c][1]) for c in columns]), F.col("i") + 1)
+    place = F.element_at(F.array(*[F.lit((found[c][0] - 1) * float(share)) for c in columns]), F.col("i") + 1)
+    upto = below + F.sum("n").over(Window.partitionBy("i").orderBy("score"))
+    table = counted.select("i", "score", "n", upto.alias("upto"), place.alias("place"))
+    first = F.col("upto") - F.col("n")
     near = table.filter(
-        ((before <= F.floor(place)) & (F.floor(place) < F.col("upto")))
-        | ((before <= F.ceil(place)) & (F.ceil(place) < F.col("upto")))
+        ((first <= F.floor("place")) & (F.floor("place") < F.col("upto")))
+        | ((first <= F.ceil("place")) & (F.ceil("place") < F.col("upto")))
     )
-    ends = near.groupBy("name").agg(
-        F.min("score").alias("a"), F.max("score").alias("b"), F.max(place - F.floor(place)).alias("t")
+    ends = near.groupBy("i").agg(
+        F.min("score").alias("a"), F.max("score").alias("b"), F.max(F.col("place") - F.floor("place")).alias("t")
     )
-    return {r["name"]: r["a"] + (r["b"] - r["a"]) * r["t"] for r in ends.collect()}
+    return {columns[r["i"]]: r["a"] + (r["b"] - r["a"]) * r["t"] for r in ends.collect()}
 
 
 def with_quantile_flag(
