@@ -12,7 +12,7 @@ from reviewrank.operators import ensemble, evaluate, features, forest, queue, ra
 from reviewrank.plans import views
 from reviewrank.plans.jobs import rank_claims
 from reviewrank.schema import ENRICHED, NUMERIC_FEATURES, Settings
-from reviewrank.session import scratch_folder, written
+from reviewrank.session import scratch_path, written
 from reviewrank.sources import cms
 from reviewrank.streaming.scoring import read_enriched_stream, read_scores, start_scoring
 
@@ -447,8 +447,8 @@ def stream_scoring(spark, sf_dir):
     model, raw = _trained(spark, sf_dir)
     ruled = rules.score_rules(forest.with_model_columns(raw, model))
     cutoff = ensemble.ensemble_threshold(ensemble.blend(ruled)).first()["quantile"]
-    folder = f"{scratch_folder(spark)}/reviewrank-stream-{spark.sparkContext.applicationId}-{id(model)}"
-    enriched(raw).write.mode("overwrite").parquet(f"{folder}/in")
+    folder = scratch_path(spark, "stream")
+    enriched(raw).write.parquet(f"{folder}/in")
     stream = read_enriched_stream(spark, f"{folder}/in")
     start_scoring(stream, model.with_threshold(cutoff), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return read_scores(spark, f"{folder}/out")

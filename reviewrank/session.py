@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and local runs. On a cluster, bring your own."""
@@ -32,18 +34,22 @@ def scratch_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="reviewrank-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _LOCAL_FOLDERS.setdefault(
+        spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="reviewrank-")
+    )
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the folder of this application, which can be dropped when it has ended."""
+    return f"{scratch_folder(spark)}/reviewrank-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a Parquet table in the scratch folder and read it back.
 
     It cuts the lineage, survives lost executors and, unlike a checkpointed RDD, keeps column
-    pruning and filter pushdown for the readers. Tables lie below one folder per application.
+    pruning and filter pushdown for the readers.
     """
-    spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/reviewrank-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
