@@ -140,7 +140,9 @@ def _zscore() -> Column:
 
 def with_provider_zscore(claims: DataFrame) -> DataFrame:
     """Adds ``provider_paid_zscore`` (sample deviation; 0 where it is null or 0)."""
-    joined = claims.join(provider_statistics(claims), "provider_id", "left")
+    # Without its own exchange the small side would keep adaptive execution from splitting a hot provider.
+    statistics = provider_statistics(claims).hint("rebalance")
+    joined = claims.join(statistics, "provider_id", "left")
     return joined.withColumn("provider_paid_zscore", _zscore()).drop("_mean", "_std")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewrank.operators import features as ft
 from reviewrank.schema import NUMERIC_FEATURES
+from reviewrank.session import written
 from reviewrank.sources.generator import generate_claims
 
 
@@ -142,3 +143,41 @@ def test_no_window_runs_over_rows_of_a_key(spark):
 
 def test_duplicate_join_can_become_a_broadcast(spark):
     assert "REBALANCE" in plan_of(ft.claim_features(five_claims(spark)))
+
+
+def test_hot_keys_are_split(spark):
+    """A third of the claims share provider, beneficiary and date, and are copies of each other. With
+    broadcasts off, every join of the claims themselves is split by adaptive execution."""
+    hot = F.col("id") % 3 == 0
+    claims = spark.range(60_000).repartition(8).select(
+        F.format_string("C%08d", "id").alias("claim_id"),
+        F.when(hot, "B").otherwise(F.concat(F.lit("B"), F.col("id") % 5_000)).alias("beneficiary_id"),
+        F.when(hot, "P").otherwise(F.concat(F.lit("P"), F.col("id") % 500)).alias("provider_id"),
+        F.lit("carrier").alias("claim_type"),
+        F.when(hot, F.lit("2024-01-04")).otherwise(F.concat(F.lit("2024-02-1"), F.col("id") % 10)).alias("service_date"),
+        F.when(hot, 5.0).otherwise(F.col("id") / 7).alias("paid_amount"),
+        *[F.lit(1).cast("long").alias(c) for c in ("diagnosis_count", "procedure_count", "units", "length_of_stay")],
+    )
+    claims = written(claims, "hot")
+    changed = {
+        "spark.sql.shuffle.partitions": "100",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "2k",
+    }
+    before = {k: spark.conf.get(k) for k in changed if k != "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"}
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        for table, joins in ((ft.claim_features(claims), 3), (ft.with_provider_zscore(ft.typed_claims(claims)), 1)):
+            table._jdf.queryExecution().toRdd().count()
+            text = plan_of(table).split("== Initial Plan ==")[0]
+            assert text.count("Join(skew=true)") == joins
+        row = ft.claim_features(claims).filter("claim_id = 'C00000003'").first()
+        assert (row["provider_claim_count_30d"], row["duplicate_indicator"]) == (20_000, 1)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+        spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
