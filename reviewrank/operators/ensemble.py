@@ -27,15 +27,18 @@ def check_scores(scored: DataFrame) -> None:
         raise ValueError("rule_score must be between 0 and 1")
 
 
-def blend(scored: DataFrame, model_weight: float = 0.90) -> DataFrame:
-    """Adds ``model_score_percentile`` (average rank share) and ``ensemble_score``."""
+def blend(scored: DataFrame, model_weight: float = 0.90, table: DataFrame | None = None) -> DataFrame:
+    """Adds ``model_score_percentile`` (average rank share) and ``ensemble_score``.
+
+    ``table`` is the rank table of the model scores of just these rows, where there already is one.
+    """
     check_weight(model_weight)
     require_columns(scored, ["model_anomaly_score", "rule_score"], "Missing ensemble score columns")
     check_scores(scored)
     typed = scored.withColumns(
         {c: number(scored, c) for c in ["model_anomaly_score", "rule_score"]}
     ).drop("model_score_percentile")
-    ranked = with_avg_rank_pct(typed, "model_anomaly_score", "_share")
+    ranked = with_avg_rank_pct(typed, "model_anomaly_score", "_share", table)
     score = F.lit(model_weight) * F.col("_share") + F.lit(1.0 - model_weight) * F.col("rule_score")
     return ranked.withColumns(
         {"model_score_percentile": np_round(F.col("_share"), 6), "ensemble_score": np_round(score, 6)}
@@ -51,8 +54,9 @@ def ensemble_threshold(blended: DataFrame, flag_rate: float = 0.05) -> DataFrame
 def flag_and_rank(blended: DataFrame, flag_rate: float = 0.05) -> DataFrame:
     """Adds ``is_flagged``, ``score_percentile`` and ``anomaly_score``.
 
-    Both follow from the score alone, so they are computed on the distinct scores (a 6-digit
-    grid, at most 1,000,001 rows) and joined back once.
+    Both follow from the score alone, so they are computed on the distinct scores and joined back.
+    ``blend`` leaves scores in [0, 1] with 6 digits, so these are at most 1,000,001 short rows,
+    however many claims there are: they are broadcast, and the claims are not shuffled.
     """
     check_rate(flag_rate, "flag_rate")
     table = rank_table(blended, "ensemble_score", unit_grid=True)
@@ -63,7 +67,7 @@ def flag_and_rank(blended: DataFrame, flag_rate: float = 0.05) -> DataFrame:
         np_round(average_rank_share(), 6).alias("score_percentile"),
     )
     return (
-        blended.join(places, F.col("ensemble_score") == F.col("_score"), "left")
+        blended.join(F.broadcast(places), F.col("ensemble_score") == F.col("_score"), "left")
         .drop("_score")
         .withColumn("anomaly_score", F.col("ensemble_score"))
     )

@@ -13,7 +13,7 @@ from reviewrank.plans import views
 from reviewrank.plans.jobs import rank_claims
 from reviewrank.schema import ENRICHED, NUMERIC_FEATURES, Settings
 from reviewrank.session import scratch_path, written
-from reviewrank.sources import cms
+from reviewrank.sources import cms, tables
 from reviewrank.streaming.scoring import read_enriched_stream, read_scores, start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +112,26 @@ def inject_anomalies(spark, sf_dir):
     ).withColumn("service_date", views.day_text())
 
 
+@query
+def csv_claims(spark, sf_dir):
+    """Claims written as CSV and read back by name and type."""
+    path = scratch_path(spark, "csv-claims")
+    tables.write_claims(views.claims(spark, sf_dir), path, "csv")
+    claims = tables.read_claims(spark, path, "csv")
+    return claims.select(*views.CLAIM_COLUMNS, "source_record_count").withColumn(
+        "service_date", views.day_text()
+    )
+
+
+@query
+def csv_ingest_pharmacy(spark, sf_dir):
+    """The pharmacy extract as a CSV file, through the header check and the adapter."""
+    path = scratch_path(spark, "csv-pharmacy")
+    tables.write_claims(views.wide_pharmacy(spark, sf_dir), path, "csv")
+    claims = cms.ingest_cms_csv(spark, path, "prescription")
+    return claims.select(*CANONICAL, views.day_text())
+
+
 # --- features and rules --------------------------------------------------------------------------
 
 
@@ -219,6 +239,16 @@ def feature_statistics(spark, sf_dir):
     return table.select("feature", r6("median"), r6("mean"), r6("scale"))
 
 
+@query
+def model_matrix(spark, sf_dir):
+    """The model inputs: imputed and scaled numbers, then one 0/1 column per claim type."""
+    table = views.featured(spark, sf_dir)
+    info = forest.fit_preparation(table)
+    names = [n["name"] for n in info["numeric"]] + [f"is_{c}" for c in info["categories"]]
+    columns = [np_round(c, 4).alias(n) for n, c in zip(names, forest.prepared_columns(info))]
+    return table.select("claim_id", *columns)
+
+
 @query
 def category_counts(spark, sf_dir):
     return queue.claim_type_mix(views.injected(spark, sf_dir))
@@ -321,6 +351,17 @@ def queue_prepare(spark, sf_dir):
     )
 
 
+@query
+def csv_scored_queue(spark, sf_dir):
+    """Ranked claims written as CSV (codes as list text) and read back as a queue."""
+    path = scratch_path(spark, "csv-scored")
+    tables.write_scored(_ranked(spark, sf_dir), path, "csv")
+    again = tables.read_scored_csv(spark, path)
+    return again.select(
+        "claim_id", "claim_type", "ensemble_score", "is_flagged", joined("rule_reason_codes"), "is_injected_anomaly"
+    )
+
+
 def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queue.prepare_queue(_ranked(spark, sf_dir))
 

@@ -276,20 +276,28 @@ UNION ALL SELECT 'negative_units', count_if(units < 0) FROM shifted
 UNION ALL SELECT 'negative_length_of_stay', count_if(length_of_stay < 0) FROM shifted
 UNION ALL SELECT 'repeated_claim_id', count(*) FROM repeated"""
 
+NUMERIC = [
+    "paid_amount_log",
+    "diagnosis_count",
+    "procedure_count",
+    "units",
+    "length_of_stay",
+    "provider_claim_count_30d",
+    "beneficiary_claim_count_30d",
+    "provider_paid_zscore",
+    "duplicate_indicator",
+    "weekend_service",
+]
 STATISTICS = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {r(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)')} AS median, "
     f"{r(f'avg({c})')} AS mean, {r(f'stddev_pop({c})')} AS scale FROM featured"
-    for c in [
-        "paid_amount_log",
-        "diagnosis_count",
-        "procedure_count",
-        "units",
-        "length_of_stay",
-        "provider_claim_count_30d",
-        "beneficiary_claim_count_30d",
-        "provider_paid_zscore",
-        "duplicate_indicator",
-        "weekend_service",
+    for c in NUMERIC
+)
+MATRIX = ", ".join(
+    [f"{r(f'({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()', 4)} AS {c}" for c in NUMERIC]
+    + [
+        f"CAST(claim_type = '{c}' AS DOUBLE) AS is_{c}"
+        for c in ["carrier", "inpatient", "outpatient", "pharmacy"]
     ]
 )
 
@@ -345,6 +353,8 @@ ORACLE: dict[str, str] = {
     "ingest_source_problems": PROBLEMS,
     "validate_report": "WITH " + RECORDS + REPORT,
     "inject_anomalies": with_(INJECTED, f"SELECT {CLAIM_FIELDS}, is_injected_anomaly, anomaly_scenario FROM injected"),
+    "csv_claims": with_(CLAIMS, f"SELECT {CLAIM_FIELDS}, source_record_count FROM claims"),
+    "csv_ingest_pharmacy": PHARMACY,
     "rolling_provider_30d": with_(
         CLAIMS, f"SELECT claim_id, {trailing('provider_id')} AS provider_claim_count_30d FROM claims"
     ),
@@ -397,6 +407,7 @@ steps AS (
            FROM amounts""",
     ),
     "feature_statistics": with_(FEATURED, STATISTICS),
+    "model_matrix": with_(FEATURED, f"SELECT claim_id, {MATRIX} FROM featured"),
     "category_counts": with_(INJECTED, "SELECT claim_type, count(*) AS claims FROM injected GROUP BY claim_type"),
     "ensemble_rank": with_(
         RANKED,
@@ -445,6 +456,11 @@ steps AS (
         f"""SELECT claim_id, claim_type, paid_amount, model_score_percentile, rule_score, ensemble_score, is_flagged,
             {CODES} AS rule_reason_codes, reason_codes_display, is_injected_anomaly FROM queue""",
     ),
+    "csv_scored_queue": with_(
+        QUEUE,
+        f"""SELECT claim_id, claim_type, ensemble_score, is_flagged, {CODES} AS rule_reason_codes,
+            is_injected_anomaly FROM queue""",
+    ),
     "queue_filter": with_(
         QUEUE,
         f"""SELECT claim_id, claim_type, ensemble_score, {CODES} AS rule_reason_codes FROM queue

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SCOPE: ContextVar[str | None] = ContextVar("scratch scope", default=None)
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -41,7 +45,24 @@ def scratch_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the folder of this application, which can be dropped when it has ended."""
-    return f"{scratch_folder(spark)}/reviewrank-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{_SCOPE.get() or 'tables'}/{name}-{uuid.uuid4().hex}"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_folder(spark)}/reviewrank-{spark.sparkContext.applicationId}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables written inside the block are dropped at its end."""
+    scope = f"scope-{uuid.uuid4().hex}"
+    token = _SCOPE.set(scope)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{_application_folder(spark)}/{scope}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
