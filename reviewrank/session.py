@@ -14,10 +14,13 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 _SCOPE: ContextVar[str | None] = ContextVar("scratch scope", default=None)
 
 
-def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", partitions: int = 8, memory: str = "8g", java_options: str = ""
+) -> SparkSession:
     """A session for tests and local runs. On a cluster, bring your own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
+        .config("spark.driver.extraJavaOptions", java_options)
         .appName("reviewrank")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)
