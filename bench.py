@@ -39,7 +39,7 @@ def main() -> None:
     timed("collapse_segments", lambda: views.claims(spark, folder))
     injected = timed("collapse_and_inject", lambda: views.injected(spark, folder))
     featured = timed("claim_features", lambda: written(features.claim_features(injected), "features"))
-    ruled = rules.score_rules(featured, views.THRESHOLDS)
+    ruled = rules.score_rules(featured, views.RULES)
     timed("rule_score", lambda: noop(ruled))
     scored = written(ruled.withColumn("model_anomaly_score", views.fixed_model_score()), "ruled")
     timed("avg_rank_pct", lambda: noop(ranking.with_avg_rank_pct(scored, "model_anomaly_score", "share")))

@@ -87,7 +87,7 @@ def parse_yyyymmdd(name: str) -> Column:
     nor a date stops the job from inside the plan, so checking costs no pass of its own."""
     text, parsed = yyyymmdd_text(name), yyyymmdd_or_null(name)
     bad = text.isNotNull() & parsed.isNull()
-    message = F.concat(F.lit(f"Invalid YYYYMMDD values in {name}: "), text)
+    message = F.concat(F.lit(f"no YYYYMMDD date in {name}: "), text)
     return F.when(bad, F.raise_error(message).cast("timestamp")).otherwise(parsed)
 
 
@@ -115,14 +115,14 @@ def parse_flag(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType.simpleString()
     c = F.col(name)
     if dtype == "boolean":
-        bad = F.raise_error(F.lit("Invalid review flag: null")).cast("boolean")
+        bad = F.raise_error(F.lit("not a review flag: null")).cast("boolean")
         return F.coalesce(c, bad)
     if dtype != "string":
         value = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
-        bad = F.raise_error(F.lit("Invalid review flag: null")).cast("boolean")
+        bad = F.raise_error(F.lit("not a review flag: null")).cast("boolean")
         return F.when(value.isNotNull(), F.abs(value) >= 1.0).otherwise(bad)
     text = F.lower(strip(c))
-    message = F.concat(F.lit("Invalid review flag: "), F.coalesce(c, F.lit("null")))
+    message = F.concat(F.lit("not a review flag: "), F.coalesce(c, F.lit("null")))
     return (
         F.when(text.isin("true", "1", "yes"), F.lit(True))
         .when(text.isin("false", "0", "no"), F.lit(False))

@@ -20,9 +20,9 @@ def check_scores(scored: DataFrame) -> None:
         F.count_if((rule < 0) | (rule > 1)).alias("outside"),
     ).first()
     if not found["rows"]:
-        raise ValueError("scored_claims must not be empty")
+        raise ValueError("there are no scored claims")
     if found["missing"]:
-        raise ValueError("Ensemble score columns must contain numeric values")
+        raise ValueError("ensemble scores must be numbers")
     if found["outside"]:
         raise ValueError("rule_score must be between 0 and 1")
 

@@ -52,7 +52,7 @@ def trailing_counts(claims: DataFrame, key: str, days: int = 30) -> DataFrame:
     the key has.
     """
     if days <= 0:
-        raise ValueError("days must be greater than zero")
+        raise ValueError("the window must be longer than zero days")
     span = days * DAY
     counted = (
         claims.filter(F.col(key).isNotNull())

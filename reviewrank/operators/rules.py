@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,62 +13,45 @@ from reviewrank.schema import require_columns
 
 
 @dataclass(frozen=True)
-class RuleThresholds:
-    provider_paid_zscore: float = 3.0
-    units: int = 20
-    provider_claim_count_30d: int = 40
-    beneficiary_claim_count_30d: int = 12
+class Rule:
+    """Fires where ``column`` reaches ``limit``, or equals it if ``exact``."""
 
+    code: str
+    weight: float
+    column: str
+    limit: float
+    exact: bool = False
 
-# Codes in order, with their weights.
-RULE_WEIGHTS = {
-    "HIGH_PROVIDER_RELATIVE_COST": 0.30,
-    "EXCESS_UNITS": 0.20,
-    "POSSIBLE_DUPLICATE": 0.25,
-    "HIGH_PROVIDER_UTILIZATION": 0.15,
-    "HIGH_BENEFICIARY_UTILIZATION": 0.10,
-}
+    def hit(self, df: DataFrame) -> Column:
+        value = number_or_zero(df, self.column)  # missing or unreadable counts as 0
+        return value == self.limit if self.exact else value >= self.limit
 
 
-def rule_hits(df: DataFrame, thresholds: RuleThresholds) -> dict[str, Column]:
-    """One Boolean per code. A missing or unreadable value counts as 0."""
+# The rules in order, with weights and default limits.
+RULES = (
+    Rule("HIGH_PROVIDER_RELATIVE_COST", 0.30, "provider_paid_zscore", 3.0),
+    Rule("EXCESS_UNITS", 0.20, "units", 20),
+    Rule("POSSIBLE_DUPLICATE", 0.25, "duplicate_indicator", 1, exact=True),
+    Rule("HIGH_PROVIDER_UTILIZATION", 0.15, "provider_claim_count_30d", 40),
+    Rule("HIGH_BENEFICIARY_UTILIZATION", 0.10, "beneficiary_claim_count_30d", 12),
+)
 
-    def value(name: str) -> Column:
-        return number_or_zero(df, name)
 
-    t = thresholds
-    return {
-        "HIGH_PROVIDER_RELATIVE_COST": value("provider_paid_zscore") >= t.provider_paid_zscore,
-        "EXCESS_UNITS": value("units") >= t.units,
-        "POSSIBLE_DUPLICATE": value("duplicate_indicator") == 1,
-        "HIGH_PROVIDER_UTILIZATION": value("provider_claim_count_30d") >= t.provider_claim_count_30d,
-        "HIGH_BENEFICIARY_UTILIZATION": value("beneficiary_claim_count_30d")
-        >= t.beneficiary_claim_count_30d,
-    }
+def rules_with(**limits: float) -> tuple[Rule, ...]:
+    """The rules with other limits, given by column."""
+    unknown = set(limits) - {rule.column for rule in RULES}
+    if unknown:
+        raise ValueError(f"no rule reads {sorted(unknown)}")
+    return tuple(replace(rule, limit=limits.get(rule.column, rule.limit)) for rule in RULES)
 
 
-def score_rules(
-    featured: DataFrame,
-    thresholds: RuleThresholds | None = None,
-    weights: dict[str, float] | None = None,
-) -> DataFrame:
+def score_rules(featured: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Adds ``rule_score`` in [0, 1] and ``rule_reason_codes``, in one projection."""
-    require_columns(
-        featured,
-        [
-            "provider_paid_zscore",
-            "units",
-            "duplicate_indicator",
-            "provider_claim_count_30d",
-            "beneficiary_claim_count_30d",
-        ],
-        "Missing rule features",
-    )
-    weights = weights or RULE_WEIGHTS
-    if not math.isclose(sum(weights.values()), 1.0, rel_tol=1e-5, abs_tol=1e-8):
-        raise ValueError("Rule weights must sum to 1.0")
-    hits = rule_hits(featured, thresholds or RuleThresholds())
-    total = add([F.when(hit, F.lit(weights[code])).otherwise(0.0) for code, hit in hits.items()], F.lit(0.0))
-    clipped = F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0))
-    codes = F.array_compact(F.array(*[F.when(hit, F.lit(code)) for code, hit in hits.items()]))
-    return featured.withColumns({"rule_score": np_round(clipped, 6), "rule_reason_codes": codes})
+    require_columns(featured, [rule.column for rule in rules], "Missing rule features")
+    if not math.isclose(sum(rule.weight for rule in rules), 1.0, abs_tol=1e-8):
+        raise ValueError("rule weights must sum to 1")
+    hits = [(rule, rule.hit(featured)) for rule in rules]
+    total = add([F.when(hit, F.lit(rule.weight)).otherwise(0.0) for rule, hit in hits], F.lit(0.0))
+    bounded = F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0))
+    codes = F.array_compact(F.array(*[F.when(hit, F.lit(rule.code)) for rule, hit in hits]))
+    return featured.withColumns({"rule_score": np_round(bounded, 6), "rule_reason_codes": codes})

@@ -190,7 +190,7 @@ def claim_features(spark, sf_dir):
 
 @query
 def rule_score(spark, sf_dir):
-    return rules.score_rules(views.featured(spark, sf_dir), views.THRESHOLDS).select("claim_id", "rule_score")
+    return rules.score_rules(views.featured(spark, sf_dir), views.RULES).select("claim_id", "rule_score")
 
 
 @query
@@ -200,7 +200,7 @@ def rule_score_default(spark, sf_dir):
 
 @query
 def reason_codes(spark, sf_dir):
-    scored = rules.score_rules(views.featured(spark, sf_dir), views.THRESHOLDS)
+    scored = rules.score_rules(views.featured(spark, sf_dir), views.RULES)
     return scored.select("claim_id", joined("rule_reason_codes"))
 
 
@@ -419,7 +419,7 @@ def score_agreement(spark, sf_dir):
 
 @query
 def reason_code_list(spark, sf_dir):
-    return queue.reason_code_list(rules.score_rules(views.featured(spark, sf_dir), views.THRESHOLDS))
+    return queue.reason_code_list(rules.score_rules(views.featured(spark, sf_dir), views.RULES))
 
 
 @query
@@ -476,7 +476,7 @@ def iforest_scores(spark, sf_dir):
 
 
 @query
-def pipeline_metrics(spark, sf_dir):
+def strategy_metrics_of_run(spark, sf_dir):
     claims = views.injected(spark, sf_dir)
     ranked = rank_claims(claims.select(*views.CLAIM_COLUMNS, "is_injected_anomaly", "anomaly_scenario"), Settings())
     return ranked.comparison

@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 
 from reviewrank.operators.features import claim_features
 from reviewrank.operators.inject import COPIED_FIELDS, SCENARIOS, donor_table, inject
-from reviewrank.operators.rules import RuleThresholds, score_rules
+from reviewrank.operators.rules import rules_with, score_rules
 from reviewrank.session import written
 from reviewrank.sources.cms import collapse_segments
 
 LINES = range(1, 8)
-# Thresholds at which every rule fires on the test tables.
-THRESHOLDS = RuleThresholds(
-    provider_paid_zscore=1.6, units=48, provider_claim_count_30d=13, beneficiary_claim_count_30d=5
-)
+# Limits at which every rule fires on the test tables.
+LIMITS = {
+    "provider_paid_zscore": 1.6,
+    "units": 48,
+    "provider_claim_count_30d": 13,
+    "beneficiary_claim_count_30d": 5,
+}
+RULES = rules_with(**LIMITS)
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +91,7 @@ def fixed_model_score() -> Column:
 
 
 def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_rules(featured(spark, sf_dir), THRESHOLDS)
+    scored = score_rules(featured(spark, sf_dir), RULES)
     return scored.withColumn("model_anomaly_score", fixed_model_score())
 
 

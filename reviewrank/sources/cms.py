@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,108 +23,113 @@ from reviewrank.functions.expr import (
     yyyymmdd_or_null,
     yyyymmdd_text,
 )
-from reviewrank.schema import CLAIM_TYPES, require_columns
-from reviewrank.sources.tables import read_text_csv, write_claims
-
-# Other names of a file type, and the facility columns that may name a provider.
-CLAIM_TYPE_ALIASES = {"pde": "pharmacy", "prescription": "pharmacy"}
-FACILITY_PROVIDERS = ["PRVDR_NUM", "AT_PHYSN_NPI", "OP_PHYSN_NPI", "OT_PHYSN_NPI"]
-MISSING_COLUMNS = "CMS source is missing required columns"
-MISSING_IDS = "CMS claim and beneficiary identifiers cannot be missing"
+from reviewrank.schema import require_columns
+from reviewrank.sources.tables import read_claims, read_text_csv, write_claims
+
+@dataclass(frozen=True)
+class Layout:
+    """Where one kind of extract keeps things. A name that ends in ``_`` stands for all columns that
+    continue it with a number."""
+
+    claim_id: str
+    date: str
+    paid: str
+    providers: tuple[str, ...] = ()
+    diagnoses: tuple[str, ...] = ()
+    procedures: tuple[str, ...] = ()
+    quantity: str | None = None
+    has_stay: bool = False
+
+
+# The column names of the extracts, and other names of a kind.
+_FACILITY = Layout(
+    claim_id="CLM_ID",
+    date="CLM_FROM_DT",
+    paid="CLM_PMT_AMT",
+    providers=("PRVDR_NUM", "AT_PHYSN_NPI", "OP_PHYSN_NPI", "OT_PHYSN_NPI"),
+    diagnoses=("ICD9_DGNS_CD_", "LINE_ICD9_DGNS_CD_", "ADMTNG_ICD9_DGNS_CD"),
+    procedures=("ICD9_PRCDR_CD_", "HCPCS_CD_"),
+)
+LAYOUTS = {
+    "inpatient": replace(_FACILITY, has_stay=True),
+    "outpatient": _FACILITY,
+    "carrier": replace(_FACILITY, paid="LINE_NCH_PMT_AMT_", providers=("PRF_PHYSN_NPI_", "TAX_NUM_")),
+    "pharmacy": Layout(
+        claim_id="PDE_ID",
+        date="SRVC_DT",
+        paid="TOT_RX_CST_AMT",
+        procedures=("PROD_SRVC_ID",),
+        quantity="QTY_DSPNSD_NUM",
+    ),
+}
+OTHER_NAMES = {"pde": "pharmacy", "prescription": "pharmacy"}
+PERSON = "DESYNPUF_ID"
+STAY_DAYS, STAY_FROM, STAY_TO = "CLM_UTLZTN_DAY_CNT", "CLM_ADMSN_DT", "CLM_THRU_DT"
+MISSING_COLUMNS = "The extract lacks columns"
 FILE_ORDER = "_FILE_ORDER"
 
 
-def normalize_claim_type(claim_type: str) -> str:
-    name = claim_type.lower().strip()
-    name = CLAIM_TYPE_ALIASES.get(name, name)
-    if name not in CLAIM_TYPES:
-        raise ValueError(f"Unsupported CMS claim type: {claim_type}. Choose from {CLAIM_TYPES}")
-    return name
-
-
-def normalize_columns(df: DataFrame) -> DataFrame:
-    names = [c.strip().upper() for c in df.columns]
-    repeated = sorted({n for n in names if names.count(n) > 1})
-    if repeated:
-        raise ValueError(f"Duplicate columns after normalization: {repeated}")
-    return df.toDF(*names)
-
-
-def numbered_columns(df: DataFrame, prefix: str) -> list[str]:
-    """Columns that start with ``prefix``, in order of the number they end with."""
-
-    def suffix(name: str) -> int:
-        found = re.search(r"(\d+)$", name)
-        return int(found.group(1)) if found else 0
-
-    return sorted((c for c in df.columns if c.startswith(prefix)), key=suffix)
-
-
-def _id_column(kind: str) -> str:
-    return "PDE_ID" if kind == "pharmacy" else "CLM_ID"
+def claim_kind(name: str) -> str:
+    folded = name.strip().lower()
+    kind = OTHER_NAMES.get(folded, folded)
+    if kind not in LAYOUTS:
+        raise ValueError(f"unknown kind of extract {name!r}; known are {', '.join(sorted(LAYOUTS))}")
+    return kind
 
 
-def _date_column(kind: str) -> str:
-    return "SRVC_DT" if kind == "pharmacy" else "CLM_FROM_DT"
+def with_plain_names(df: DataFrame) -> DataFrame:
+    """Column names without outer blanks and in capitals."""
+    plain = Counter(c.strip().upper() for c in df.columns)
+    if max(plain.values()) > 1:
+        raise ValueError(f"columns share a name: {[n for n, times in plain.items() if times > 1]}")
+    return df.toDF(*plain)
 
 
-def provider_id(df: DataFrame, kind: str, claim_id: Column) -> Column:
-    """First named provider; without one a value unique to the claim, so that unrelated claims
-    neither form a false provider nor a hot key."""
-    if kind in ("inpatient", "outpatient"):
-        names = [c for c in FACILITY_PROVIDERS if c in df.columns]
-    elif kind == "carrier":
-        names = numbered_columns(df, "PRF_PHYSN_NPI_") + numbered_columns(df, "TAX_NUM_")
-    else:
-        names = []
-    known = F.concat(F.lit("CMS-PRV-"), first_nonempty(names))
-    return F.coalesce(known, F.concat(F.lit("CMS-NO-PROVIDER-"), claim_id))
+def columns_like(df: DataFrame, names: tuple[str, ...]) -> list[str]:
+    """The named columns that exist, in order; numbered ones by their number."""
+    found: list[str] = []
+    for name in names:
+        shape = re.compile(re.escape(name) + (r".*?(\d*)" if name.endswith("_") else "()"))
+        numbers = {c: int(m[1] or 0) for c in df.columns if (m := shape.fullmatch(c))}
+        found += sorted(numbers, key=numbers.get)
+    return found
 
 
-def paid_amount(df: DataFrame, kind: str) -> Column:
-    if kind == "carrier":
-        lines = numbered_columns(df, "LINE_NCH_PMT_AMT_")
-        if not lines:
-            raise ValueError("Carrier source has no LINE_NCH_PMT_AMT_* columns")
-        return add([number_or_zero(df, c) for c in lines], F.lit(0.0))
-    name = "TOT_RX_CST_AMT" if kind == "pharmacy" else "CLM_PMT_AMT"
-    require_columns(df, [name], MISSING_COLUMNS)
-    return number_or_zero(df, name)
+def _source(df: DataFrame, claim_type: str) -> tuple[DataFrame, str, Layout]:
+    kind = claim_kind(claim_type)
+    source, layout = with_plain_names(df), LAYOUTS[kind]
+    require_columns(source, [PERSON, layout.claim_id, layout.date], MISSING_COLUMNS)
+    if not columns_like(source, (layout.paid,)):
+        raise ValueError(f"{MISSING_COLUMNS}: {[layout.paid]}")
+    if layout.has_stay and STAY_DAYS not in source.columns:
+        require_columns(source, [STAY_FROM, STAY_TO], MISSING_COLUMNS)
+    return source, kind, layout
 
 
-def diagnosis_count(df: DataFrame, kind: str) -> Column:
-    if kind == "pharmacy":
+def _stay(source: DataFrame, layout: Layout) -> Column:
+    if not layout.has_stay:
         return F.lit(0).cast("long")
-    names = numbered_columns(df, "ICD9_DGNS_CD_") + numbered_columns(df, "LINE_ICD9_DGNS_CD_")
-    return count_populated(names + [c for c in ["ADMTNG_ICD9_DGNS_CD"] if c in df.columns])
-
-
-def procedure_count(df: DataFrame, kind: str) -> Column:
-    if kind == "pharmacy":
-        return count_populated([c for c in ["PROD_SRVC_ID"] if c in df.columns])
-    return count_populated(numbered_columns(df, "ICD9_PRCDR_CD_") + numbered_columns(df, "HCPCS_CD_"))
-
-
-def length_of_stay(df: DataFrame, kind: str) -> Column:
-    if kind != "inpatient":
-        return F.lit(0).cast("long")
-    if "CLM_UTLZTN_DAY_CNT" in df.columns:
-        return at_least_zero(number_or_zero(df, "CLM_UTLZTN_DAY_CNT")).cast("long")
-    require_columns(df, ["CLM_ADMSN_DT", "CLM_THRU_DT"], MISSING_COLUMNS)
-    days = F.datediff(parse_yyyymmdd("CLM_THRU_DT"), parse_yyyymmdd("CLM_ADMSN_DT")) + 1
+    if STAY_DAYS in source.columns:
+        return at_least_zero(number_or_zero(source, STAY_DAYS)).cast("long")
+    days = F.datediff(parse_yyyymmdd(STAY_TO), parse_yyyymmdd(STAY_FROM)) + 1
     return F.coalesce(F.greatest(days, F.lit(0)), F.lit(0)).cast("long")
 
 
 def canonical_records(df: DataFrame, claim_type: str) -> DataFrame:
     """One canonical row per source row, in a single projection. A missing id or a bad date stops
-    the job from inside the plan."""
-    kind = normalize_claim_type(claim_type)
-    source = normalize_columns(df)
-    require_columns(source, ["DESYNPUF_ID", _id_column(kind), _date_column(kind)], MISSING_COLUMNS)
-    raw_id = required(clean_text(F.col(_id_column(kind))), MISSING_IDS)
+    the job from inside the plan.
+
+    A row that names no provider gets one unique to its claim, so that unrelated claims neither
+    form a false provider nor a hot key.
+    """
+    source, kind, layout = _source(df, claim_type)
+    raw_id = required(clean_text(F.col(layout.claim_id)), f"{layout.claim_id} must not be missing")
+    person = required(clean_text(F.col(PERSON)), f"{PERSON} must not be missing")
     claim_id = F.concat(F.lit(f"CMS-{kind.upper()}-"), raw_id)
-    procedures = procedure_count(source, kind)
-    quantity = at_least_zero(number_or_zero(source, "QTY_DSPNSD_NUM")).cast("long")
+    named = F.concat(F.lit("CMS-PRV-"), first_nonempty(columns_like(source, layout.providers)))
+    paid = add([number_or_zero(source, c) for c in columns_like(source, (layout.paid,))], F.lit(0.0))
+    procedures = count_populated(columns_like(source, layout.procedures))
+    units = at_least_zero(number_or_zero(source, layout.quantity)).cast("long") if layout.quantity else procedures
     segment = number(source, "SEGMENT") if "SEGMENT" in source.columns else F.lit(None).cast("double")
     # Rows without a segment number come after those with one.
     order = [F.coalesce(segment, F.lit(float("inf"))).alias("segment")]
@@ -131,15 +138,15 @@ def canonical_records(df: DataFrame, claim_type: str) -> DataFrame:
     return source.select(
         claim_id.alias("claim_id"),
         raw_id.alias("source_claim_id"),
-        F.concat(F.lit("CMS-BEN-"), required(clean_text(F.col("DESYNPUF_ID")), MISSING_IDS)).alias("beneficiary_id"),
-        provider_id(source, kind, claim_id).alias("provider_id"),
+        F.concat(F.lit("CMS-BEN-"), person).alias("beneficiary_id"),
+        F.coalesce(named, F.concat(F.lit("CMS-NO-PROVIDER-"), claim_id)).alias("provider_id"),
         F.lit(kind).alias("claim_type"),
-        parse_yyyymmdd(_date_column(kind)).alias("service_date"),
-        np_round(at_least_zero(paid_amount(source, kind)), 2).alias("paid_amount"),
-        diagnosis_count(source, kind).alias("diagnosis_count"),
+        parse_yyyymmdd(layout.date).alias("service_date"),
+        np_round(at_least_zero(paid), 2).alias("paid_amount"),
+        count_populated(columns_like(source, layout.diagnoses)).alias("diagnosis_count"),
         procedures.alias("procedure_count"),
-        (quantity if kind == "pharmacy" else procedures).alias("units"),
-        length_of_stay(source, kind).alias("length_of_stay"),
+        units.alias("units"),
+        _stay(source, layout).alias("length_of_stay"),
         F.lit(kind).alias("source_file_type"),
         F.struct(*order).alias("_order"),
     )
@@ -182,14 +189,12 @@ def adapt_cms(df: DataFrame, claim_type: str) -> DataFrame:
 
 def source_problems(df: DataFrame, claim_type: str) -> DataFrame:
     """What would stop the adapter: ``problem, rows, examples`` (up to 3 values), before a long run."""
-    kind = normalize_claim_type(claim_type)
-    source = normalize_columns(df)
-    require_columns(source, ["DESYNPUF_ID", _id_column(kind), _date_column(kind)], MISSING_COLUMNS)
-    dates = [_date_column(kind)]
-    if kind == "inpatient" and "CLM_UTLZTN_DAY_CNT" not in source.columns:
-        dates += ["CLM_ADMSN_DT", "CLM_THRU_DT"]
+    source, _, layout = _source(df, claim_type)
+    dates = [layout.date]
+    if layout.has_stay and STAY_DAYS not in source.columns:
+        dates += [STAY_FROM, STAY_TO]
     rows = None
-    for name in ["DESYNPUF_ID", _id_column(kind)]:
+    for name in [PERSON, layout.claim_id]:
         one = source.filter(clean_text(F.col(name)).isNull()).agg(F.count(F.lit(1)).alias("rows"))
         one = one.select(F.lit(f"missing {name}").alias("problem"), "rows", F.array().cast("array<string>").alias("examples"))
         rows = one if rows is None else rows.unionByName(one)
@@ -221,6 +226,4 @@ def ingest_cms_csv(spark: SparkSession, path: str, claim_type: str, output: str
     write_claims(claims, output, fmt)
     if fmt == "parquet":
         return spark.read.schema(claims.schema).parquet(output)
-    from reviewrank.sources.tables import read_claims
-
     return read_claims(spark, output, fmt)

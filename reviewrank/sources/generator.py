@@ -76,7 +76,7 @@ def plain_claims(spark: SparkSession, rows: int, seed: int) -> DataFrame:
 def generate_claims(spark: SparkSession, rows: int = 5_000, anomaly_rate: float = 0.04, seed: int = 42) -> DataFrame:
     """Claims with labelled anomalies; the label is for evaluation only."""
     if rows < 100:
-        raise ValueError("rows must be at least 100")
+        raise ValueError("at least 100 rows are needed")
     if not 0 < anomaly_rate < 0.25:
         raise ValueError("anomaly_rate must be between 0 and 0.25")
     return inject_at_rate(plain_claims(spark, rows, seed), anomaly_rate, seed)

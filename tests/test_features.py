@@ -35,7 +35,7 @@ def test_tie_modes(spark):
 
 @pytest.mark.parametrize("days", [0, -3])
 def test_window_must_be_positive(spark, days):
-    with pytest.raises(ValueError, match="greater than zero"):
+    with pytest.raises(ValueError, match="longer than zero"):
         ft.claim_features(five_claims(spark), days=days)
 
 

@@ -66,8 +66,8 @@ def test_flags(spark, value, flag):
 @pytest.mark.parametrize(
     ("column", "value", "message"),
     [
-        ("is_flagged", "maybe", "Invalid review flag"),
-        ("is_flagged", None, "Invalid review flag"),
+        ("is_flagged", "maybe", "not a review flag"),
+        ("is_flagged", None, "not a review flag"),
         ("paid_amount", "much", "paid_amount must be numeric"),
         ("rule_score", "1.2", "rule_score must be between 0 and 1"),
         ("ensemble_score", None, "ensemble_score must be between 0 and 1"),

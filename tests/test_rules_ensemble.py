@@ -3,7 +3,7 @@ from frames import by_id
 from pyspark.sql import functions as F
 
 from reviewrank.operators import ensemble
-from reviewrank.operators.rules import RULE_WEIGHTS, RuleThresholds, score_rules
+from reviewrank.operators.rules import RULES, rules_with, score_rules
 
 RULE = (
     "claim_id string, provider_paid_zscore double, units long, duplicate_indicator int, "
@@ -23,13 +23,13 @@ def score_frame(spark):
 
 def test_rules_and_codes(spark):
     found = by_id(score_rules(rule_frame(spark)), "rule_score", "rule_reason_codes")
-    assert found["ALL"] == (1.0, list(RULE_WEIGHTS))
+    assert found["ALL"] == (1.0, [rule.code for rule in RULES])
     assert found["NONE"] == (0.0, [])
     assert found["PARTIAL"] == (0.4, ["HIGH_PROVIDER_RELATIVE_COST", "HIGH_BENEFICIARY_UTILIZATION"])
 
 
 def test_thresholds_can_be_replaced(spark):
-    found = by_id(score_rules(rule_frame(spark), RuleThresholds(units=2)), "rule_reason_codes")
+    found = by_id(score_rules(rule_frame(spark), rules_with(units=2)), "rule_reason_codes")
     assert found["NONE"] == ["EXCESS_UNITS"]
 
 
@@ -43,8 +43,10 @@ def test_nan_and_text_count_as_zero(spark):
 def test_rule_guards(spark):
     with pytest.raises(ValueError, match="Missing rule features"):
         score_rules(rule_frame(spark).drop("units"))
+    with pytest.raises(ValueError, match="no rule reads"):
+        rules_with(age=3)
     with pytest.raises(ValueError, match="sum to 1"):
-        score_rules(rule_frame(spark), weights={**RULE_WEIGHTS, "EXCESS_UNITS": 0.5})
+        score_rules(rule_frame(spark), RULES[:3])
 
 
 def test_ensemble_order_and_score(spark):
@@ -74,9 +76,9 @@ def test_ensemble_rejects_bad_scores(spark):
         ensemble.combine_scores(frame.select("claim_id"))
     with pytest.raises(ValueError, match="rule_score must be between 0 and 1"):
         ensemble.combine_scores(frame.withColumn("rule_score", F.lit(1.2)))
-    with pytest.raises(ValueError, match="numeric"):
+    with pytest.raises(ValueError, match="must be numbers"):
         ensemble.combine_scores(frame.withColumn("rule_score", F.lit(None).cast("double")))
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="empty|no scored"):
         ensemble.combine_scores(frame.limit(0))
 
 
