@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewrank.llm import urls
+from reviewrank.llm import bpe, simhash, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+VOCABULARY = "byte_bpe_50k.json"
 #: Fixed values of the query: rules by host and path.
 URL_RULES = (
     urls.Rule("allow", "com", "/"),
@@ -63,5 +65,15 @@ SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
 FROM ruled LEFT JOIN listed ON ruled.curl = listed.curl
 """
 
-QUERIES = {"op5_url_filter": op5_url_filter}
+
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash.simhash_groups(table(spark, folder, "documents"))
+    return groups.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip_digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+QUERIES = {"op7_bpe": op7_bpe, "op3_simhash": op3_simhash, "op5_url_filter": op5_url_filter}
 ORACLE = {"op5_url_filter": OP5}
