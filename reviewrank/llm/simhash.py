@@ -75,6 +75,10 @@ def _key(segment: int, value: Column) -> Column:
     return value.bitwiseOR(F.lit(segment << SEGMENT_BITS))
 
 
+def _ball(segment: int, value: Column, masks: Column) -> Column:
+    return F.transform(masks, lambda mask: _key(segment, value.bitwiseXOR(mask)))
+
+
 def near_fingerprints(distinct: DataFrame, most_bits: int = 3) -> DataFrame:
     """``a, b, bits``: pairs of ``rep`` whose ``fp`` differ in ``most_bits`` or fewer bits.
 
@@ -87,7 +91,7 @@ def near_fingerprints(distinct: DataFrame, most_bits: int = 3) -> DataFrame:
     fp = F.col("fp")
     stored = F.explode(F.array(*(_key(s, _segment(fp, s)) for s in range(SEGMENTS))))
     ball = F.array(*(F.lit(m).cast("bigint") for m in masks))
-    probes = F.explode(F.flatten(F.array(*(F.transform(ball, lambda m, s=s: _key(s, _segment(fp, s).bitwiseXOR(m))) for s in range(SEGMENTS)))))
+    probes = F.explode(F.concat(*(_ball(s, _segment(fp, s), ball) for s in range(SEGMENTS))))
     table = distinct.select(stored.alias("key"), fp.alias("fp_b"), F.col("rep").alias("b"))
     looked_up = distinct.select(probes.alias("key"), fp.alias("fp_a"), F.col("rep").alias("a"))
     bits = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b")))
