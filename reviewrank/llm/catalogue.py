@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewrank.llm import bpe, simhash, urls
+from reviewrank.llm import bpe, packing, simhash, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -71,9 +71,13 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {"op7_bpe": op7_bpe, "op3_simhash": op3_simhash, "op5_url_filter": op5_url_filter}
+QUERIES = {"op4_packing": op4_packing, "op7_bpe": op7_bpe, "op3_simhash": op3_simhash, "op5_url_filter": op5_url_filter}
 ORACLE = {"op5_url_filter": OP5}
