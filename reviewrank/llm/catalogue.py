@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewrank.llm import bpe, packing, simhash, urls
+from reviewrank.llm import bpe, packing, secrets, simhash, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -79,5 +79,17 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {"op4_packing": op4_packing, "op7_bpe": op7_bpe, "op3_simhash": op3_simhash, "op5_url_filter": op5_url_filter}
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs))
+    of_kind = lambda k: F.size(F.filter("base_spans", lambda s: s["kind_no"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        *(of_kind(k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS[:3])),
+        F.sha2(secrets.as_text(F.col("base_spans")), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+    )
+
+
+QUERIES = {"op8_secrets": op8_secrets, "op4_packing": op4_packing, "op7_bpe": op7_bpe, "op3_simhash": op3_simhash, "op5_url_filter": op5_url_filter}
 ORACLE = {"op5_url_filter": OP5}
