@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewrank.llm import bpe, packing, secrets, simhash, urls
+from reviewrank.llm import bpe, language, packing, passage_quality, quality_rules, secrets, simhash, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,7 @@ URL_RULES = (
     urls.Rule("block", "net", "/es/"),
     urls.Rule("block", "net", "/fr/"),
 )
+QUALITY_LEAST = 0.3
 #: Words in a host that put a page's URL on the list.
 LISTED_HOSTS = r"(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)"
 
@@ -66,6 +67,12 @@ FROM ruled LEFT JOIN listed ON ruled.curl = listed.curl
 """
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return quality_rules.judge(docs).select("doc_id", *counts, "base_failed", "kept")
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, folder, "documents"))
     return groups.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -75,6 +82,21 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = language.remainder(F.col("doc_id"), 4) == 2
+    known = language.dictionaries(docs.where(~held_out))
+    return language.identify(docs, known).withColumn("held_out", held_out)
+
+
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = language.remainder(F.col("doc_id"), 5) == 0
+    model = passage_quality.train(docs, table(spark, folder, "labels").where(~held_out))
+    scored = passage_quality.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"))
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -91,5 +113,5 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op8_secrets": op8_secrets, "op4_packing": op4_packing, "op7_bpe": op7_bpe, "op3_simhash": op3_simhash, "op5_url_filter": op5_url_filter}
+QUERIES = {"op6_language": op6_language, "op9_quality": op9_quality, "op2_quality_rules": op2_quality_rules, "op8_secrets": op8_secrets, "op4_packing": op4_packing, "op7_bpe": op7_bpe, "op3_simhash": op3_simhash, "op5_url_filter": op5_url_filter}
 ORACLE = {"op5_url_filter": OP5}
