@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewrank.llm import bpe, language, packing, passage_quality, quality_rules, secrets, simhash, urls
+from reviewrank.llm import bpe, language, packing, passage_quality, passages, quality_rules, secrets, simhash, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -97,6 +97,10 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"))
 
 
+def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, folder, "documents"))
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -113,5 +117,5 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op6_language": op6_language, "op9_quality": op9_quality, "op2_quality_rules": op2_quality_rules, "op8_secrets": op8_secrets, "op4_packing": op4_packing, "op7_bpe": op7_bpe, "op3_simhash": op3_simhash, "op5_url_filter": op5_url_filter}
+QUERIES = {"op10_passages": op10_passages, "op6_language": op6_language, "op9_quality": op9_quality, "op2_quality_rules": op2_quality_rules, "op8_secrets": op8_secrets, "op4_packing": op4_packing, "op7_bpe": op7_bpe, "op3_simhash": op3_simhash, "op5_url_filter": op5_url_filter}
 ORACLE = {"op5_url_filter": OP5}
