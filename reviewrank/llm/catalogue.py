@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewrank.llm import bpe, language, packing, passage_quality, passages, quality_rules, secrets, simhash, urls
+from reviewrank.llm import bpe, language, packing, passage_quality, passages, quality_rules, secrets, simhash, urls, vectors
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -67,6 +67,11 @@ FROM ruled LEFT JOIN listed ON ruled.curl = listed.curl
 """
 
 
+def op1_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    linked = vectors.linked_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return linked.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -117,5 +122,5 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op10_passages": op10_passages, "op6_language": op6_language, "op9_quality": op9_quality, "op2_quality_rules": op2_quality_rules, "op8_secrets": op8_secrets, "op4_packing": op4_packing, "op7_bpe": op7_bpe, "op3_simhash": op3_simhash, "op5_url_filter": op5_url_filter}
+QUERIES = {"op1_vectors": op1_vectors, "op10_passages": op10_passages, "op6_language": op6_language, "op9_quality": op9_quality, "op2_quality_rules": op2_quality_rules, "op8_secrets": op8_secrets, "op4_packing": op4_packing, "op7_bpe": op7_bpe, "op3_simhash": op3_simhash, "op5_url_filter": op5_url_filter}
 ORACLE = {"op5_url_filter": OP5}
