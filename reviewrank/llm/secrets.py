@@ -188,3 +188,17 @@ def redact(text: Column, spans: Column, mark: str = "[secret]") -> Column:
 
     rest = lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
     return F.when(F.size(spans) > 0, F.aggregate(spans, zero, add, rest)).otherwise(text)
+
+
+def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
+    """``docs`` with every secret in ``text`` replaced by a mark; ``n_chars`` follows where there is one.
+
+    Models are trained on these documents. Other columns are kept, whatever their names.
+    """
+    row = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    spans = scan(row, train(docs)).withColumn("clean", redact(F.col("text"), F.col("spans"), mark))
+    new = {"text": F.col("clean")}
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.size("spans") > 0, F.length("clean")).otherwise(F.col("row.n_chars"))
+        new["n_chars"] = n_chars.cast(docs.schema["n_chars"].dataType)
+    return spans.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
