@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from types import FunctionType
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,3 +78,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shipped(function: Callable) -> Callable:
+    """A copy of a module's function that Spark sends to workers by value, so that they need no installed package.
+
+    Constants of its module go along; functions of its module that it calls must be nested or passed in.
+    """
+    copy = FunctionType(function.__code__, function.__globals__, function.__name__, function.__defaults__, function.__closure__)
+    copy.__kwdefaults__ = function.__kwdefaults__
+    copy.__module__ = "__main__"
+    return copy
