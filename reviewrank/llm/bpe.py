@@ -22,20 +22,43 @@ decode to U+FFFD; repeated rows are encoded one by one; other columns are not re
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 
+from reviewrank.session import shipped
+
 #: Characters of a block. Words and pre-tokens remembered with their ids, and their most characters.
 BLOCK, REMEMBERED, LONGEST_REMEMBERED = 1 << 16, 1 << 19, 24
 
 
-def transducer(vocabulary: str) -> tuple[Callable, Callable, int]:
+#: Fixed pattern of the byte-level pre-tokenizer.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The byte-level alphabet: printable Latin-1 characters stand for themselves, the rest follow from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(256, 512))
+    return {chr(b if b in printable else next(rest)): b for b in range(256)}
+
+
+def vocabulary_of(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Ids of all byte strings, and of the special tokens, of a file of the tokenizers library."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    alphabet = byte_alphabet()
+    specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    return {bytes(alphabet[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in specials}, specials
+
+
+def transducer(vocabulary: str, byte_alphabet: dict[str, int], pattern: str = PATTERN) -> tuple[Callable, Callable, int]:
     """``encode(text)`` yields bytes of little-endian 32-bit ids; ``decoder()`` returns ``feed(ids, last)``
     from such bytes to text; and the merge list's sufficient lookahead in bytes.
 
-    ``vocabulary`` is the path of a tokenizer file in the JSON format of the tokenizers library. All
-    parts are nested here, so that Spark ships them by value.
+    ``vocabulary`` is the path of a tokenizer file in the JSON format of the tokenizers library, with
+    ``byte_alphabet()``. All parts are nested here, so that Spark ships them by value.
     """
     import codecs
     import heapq
@@ -46,14 +69,8 @@ def transducer(vocabulary: str) -> tuple[Callable, Callable, int]:
 
     with open(vocabulary, encoding="utf-8") as f:
         spec = json.load(f)
-    # The byte-level alphabet: printable Latin-1 characters stand for themselves, the rest follow from 256 on.
-    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    alphabet, shown = {}, 256
-    for byte in range(256):
-        alphabet[chr(byte) if byte in printable else chr(shown)] = byte
-        shown += byte not in printable
     specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
-    raw = {t: bytes(alphabet[c] for c in t) for t in spec["model"]["vocab"] if t not in specials}
+    raw = {t: bytes(byte_alphabet[c] for c in t) for t in spec["model"]["vocab"] if t not in specials}
     id_of = {raw[t]: i for t, i in spec["model"]["vocab"].items() if t in raw}
     bytes_of = [b""] * (1 + max([*id_of.values(), *specials.values()]))
     for t, i in [*id_of.items(), *((s.encode(), i) for s, i in specials.items())]:
@@ -131,8 +148,7 @@ def transducer(vocabulary: str) -> tuple[Callable, Callable, int]:
             start = stable
         yield from (merged if len(data) - start <= 100 else merged_long)(data[start:])
 
-    # Fixed pattern of the byte-level pre-tokenizer.
-    pretoken = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+    pretoken = regex.compile(pattern)
     space = regex.compile(r"\s")
 
     def pack(ids: list[int]) -> bytes:
@@ -220,10 +236,12 @@ def transducer(vocabulary: str) -> tuple[Callable, Callable, int]:
 def encode_texts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """``doc_id, ids``: packed little-endian 32-bit ids of every text."""
 
+    build, alphabet = shipped(transducer), byte_alphabet()
+
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        encode, _, _ = transducer(vocabulary)
+        encode, _, _ = build(vocabulary, alphabet)
         for batch in batches:
             ids = [b"".join(encode(t or "")) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
@@ -235,10 +253,12 @@ def encode_texts(docs: DataFrame, vocabulary: str) -> DataFrame:
 def decode_ids(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """``doc_id, text`` from ``doc_id, ids``."""
 
+    build, alphabet = shipped(transducer), byte_alphabet()
+
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        _, decoder, _ = transducer(vocabulary)
+        _, decoder, _ = build(vocabulary, alphabet)
         for batch in batches:
             texts = []
             for ids in batch.column("ids").to_pylist():
@@ -254,12 +274,14 @@ def decode_ids(encoded: DataFrame, vocabulary: str) -> DataFrame:
 def round_trip_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``, digested block by block as ids are emitted."""
 
+    build, alphabet = shipped(transducer), byte_alphabet()
+
     def run(batches: Iterator) -> Iterator:
         import hashlib
 
         import pyarrow as pa
 
-        encode, decoder, _ = transducer(vocabulary)
+        encode, decoder, _ = build(vocabulary, alphabet)
         for batch in batches:
             counts, ids_hex, text_hex = [], [], []
             for text in batch.column("text").to_pylist():

@@ -101,18 +101,17 @@ def _pages(ranked: DataFrame, axes: np.ndarray, page: int) -> DataFrame:
     """Each block as rows of up to ``page`` packed vectors with the box of their rotated coordinates."""
     size = len(axes)
 
-    def run(batches: Iterator) -> Iterator:
+    def packed(table):
         import numpy as np
         import pyarrow as pa
 
-        table = pa.Table.from_batches(list(batches)).combine_chunks()
         block = table.column("block")[0].as_py()
         x = np.array(table.column("vector").combine_chunks().flatten())
         x = x.reshape(-1, size)
         reps, copies = (np.array(table.column(c)).astype("i8") for c in ("rep", "copies"))
         turned = x / np.linalg.norm(x.astype(float), axis=1, keepdims=True) @ axes
         cuts = range(0, len(x), page)
-        yield pa.RecordBatch.from_arrays(
+        return pa.table(
             [
                 pa.array([block] * len(cuts), pa.int64()),
                 *(pa.array([v[i : i + page].tobytes() for i in cuts], pa.binary()) for v in (reps, copies, x)),
@@ -122,13 +121,7 @@ def _pages(ranked: DataFrame, axes: np.ndarray, page: int) -> DataFrame:
         )
 
     schema = "block bigint, reps binary, copies binary, vectors binary, low array<double>, high array<double>"
-    return ranked.groupBy("block").applyInArrow(lambda table: _one_table(run, table), schema)
-
-
-def _one_table(run, table):
-    import pyarrow as pa
-
-    return pa.Table.from_batches(list(run(table.to_batches())))
+    return ranked.groupBy("block").applyInArrow(packed, schema)
 
 
 def _boxes(parts: DataFrame, node: Column, size: int) -> DataFrame:
