@@ -28,10 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType, StructField, StructType
 
+from reviewrank.llm.bpe import PATTERN, vocabulary_of
 from reviewrank.session import written
 
-#: Words remembered with their ids by a tokenizing task, and the most characters of one.
-REMEMBERED, LONGEST_REMEMBERED = 1 << 19, 24
 #: Pieces of a hash bucket, and the most buckets, when pieces are ranked.
 BUCKET_ROWS, MOST_BUCKETS = 2_000, 4_096
 
@@ -40,56 +39,31 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, separat
     """``doc_id, piece, start, length, ids``: each text's ids and a separator, cut only where longer than
     the capacity; then the first piece takes the remainder and all others are full.
 
-    ``vocabulary`` is the path of a file of the tokenizers library; ids are packed little-endian 32-bit.
+    ``vocabulary`` is the path of a byte-level BPE file of the tokenizers library whose ids follow its
+    merges. Such a file gives the same ids through tiktoken, several times as fast, from its vocabulary and
+    the byte-level pattern; the text of a special token becomes its id in both. Ids are packed little-endian
+    32-bit.
     """
+    ranks, specials = vocabulary_of(vocabulary)
+    pattern = PATTERN
 
     def run(batches: Iterator) -> Iterator:
-        import re
         import struct
 
         import pyarrow as pa
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(vocabulary)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        irregular = re.compile(r"\s | \s")  # elsewhere a space between two words starts a new pre-token
-        opening: dict[str, bytes] = {}
-        following: dict[str, bytes] = {}
+        import tiktoken
+
+        encoding = tiktoken.Encoding("documents", pat_str=pattern, mergeable_ranks=ranks, special_tokens=specials)
         closing = struct.pack("<I", separator)
 
-        def encoded(texts: list[str]) -> list[bytes]:
-            found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in found]
-
-        def learn(known: dict[str, bytes], words: list[str], before: str) -> None:
-            new = sorted(words)
-            for i in range(0, len(new), 4096):
-                part = new[i : i + 4096]
-                known.update(zip(part, encoded([before + w for w in part])))
-
-        def all_ids(texts: list[str]) -> Iterator[bytes]:
-            for t in texts:
-                if irregular.search(t):
-                    yield encoded([t])[0]
-                    continue
-                first, *rest = t.split(" ")
-                if unknown := {first}.difference(opening):
-                    learn(opening, unknown, "")
-                if unknown := set(rest).difference(following):
-                    learn(following, unknown, " ")
-                yield opening[first] + b"".join(map(following.__getitem__, rest))
-                for known in (opening, following):
-                    if len(known) > REMEMBERED:
-                        known.clear()
-                del opening[first]
+        def ids_of(text: str) -> bytes:
+            return encoding.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
         step = 4 * capacity
         for batch in batches:
             rows: list[tuple] = []
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), all_ids(texts)):
-                ids += closing
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                ids = ids_of(text or "") + closing
                 end = len(ids) % step or step
                 cuts = [0, *range(end, len(ids) + 1, step)]
                 rows += [(doc, n, a // 4, (b - a) // 4, ids[a:b]) for n, (a, b) in enumerate(zip(cuts, cuts[1:]))]
