@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewrank.llm import bpe, language, packing, passage_quality, passages, quality_rules, secrets, simhash, urls, vectors
+from reviewrank.llm.oracle import ORACLE
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,40 +34,6 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
-OP5 = r"""
-WITH cut AS (
-  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
-), parts AS (
-  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
-         regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query
-  FROM cut
-), clean AS (
-  SELECT page_id, host, path,
-         regexp_replace(array_to_string(list_filter(string_split(query, '&'), lambda x: NOT regexp_full_match(x, '(utm_[a-z]+|ref|gclid|fbclid)=.*')), '&'), '^&', '') AS kept
-  FROM parts
-), canon AS (
-  SELECT page_id, host, path, CASE WHEN host <> '' THEN regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '')
-         || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END END AS curl
-  FROM clean
-), listed AS (
-  SELECT DISTINCT curl FROM canon WHERE regexp_matches(host, '(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)')
-), ruled AS (
-  SELECT page_id, host, path, curl,
-         CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
-              WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
-              WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
-              WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
-              WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule
-  FROM canon
-)
-SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
-       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-            WHEN listed.curl IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
-FROM ruled LEFT JOIN listed ON ruled.curl = listed.curl
-"""
-
-
 def op1_vectors(spark: SparkSession, folder: str) -> DataFrame:
     linked = vectors.linked_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"))
     return linked.withColumn("kept", F.col("vec_id") == F.col("component_id"))
@@ -122,5 +89,17 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_vectors": op1_vectors, "op10_passages": op10_passages, "op6_language": op6_language, "op9_quality": op9_quality, "op2_quality_rules": op2_quality_rules, "op8_secrets": op8_secrets, "op4_packing": op4_packing, "op7_bpe": op7_bpe, "op3_simhash": op3_simhash, "op5_url_filter": op5_url_filter}
-ORACLE = {"op5_url_filter": OP5}
+QUERIES = {
+    "op1_vectors": op1_vectors,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_simhash": op3_simhash,
+    "op4_packing": op4_packing,
+    "op5_url_filter": op5_url_filter,
+    "op6_language": op6_language,
+    "op7_bpe": op7_bpe,
+    "op8_secrets": op8_secrets,
+    "op9_quality": op9_quality,
+    "op10_passages": op10_passages,
+}
+
+__all__ = ["ORACLE", "QUERIES"]
