@@ -64,7 +64,7 @@ def repeated_words(words: Column) -> Column:
     def windows(w: Column) -> Column:
         places = F.sequence(F.lit(0), F.size(w) - 3)
         hashed = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-        return F.array_sort(F.transform(places, lambda i: F.struct(hashed(i).alias("h"), i.alias("i"))))
+        return F.sort_array(F.transform(places, lambda i: F.struct(hashed(i).alias("h"), i.alias("i"))))
 
     def twice(sorted_windows: Column) -> Column:
         same = lambda x, k: F.coalesce(F.get(sorted_windows, k)["h"] == x["h"], F.lit(False))
@@ -73,7 +73,7 @@ def repeated_words(words: Column) -> Column:
     def covered(found: Column) -> Column:
         start = F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n"))
         add = lambda s, i: F.struct(i.alias("last"), (s["n"] + F.least(F.lit(3), i - s["last"])).alias("n"))
-        return F.aggregate(F.array_sort(F.transform(found, lambda x: x["i"])), start, add, lambda s: s["n"])
+        return F.aggregate(F.sort_array(F.transform(found, lambda x: x["i"])), start, add, lambda s: s["n"])
 
     return F.when(last < 1, F.lit(0)).otherwise(let(words, lambda w: let(windows(w), lambda s: covered(twice(s)))))
 
@@ -117,7 +117,7 @@ def references(docs: DataFrame) -> DataFrame:
     counts = written(each.groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     common = counts.join(totals, "lang").where(F.col("n") >= F.col("total") * COMMON)
-    sorted_words = F.array_sort(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("share"))))
+    sorted_words = F.sort_array(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("share"))))
     lists = common.groupBy("lang").agg(sorted_words.alias("common"))  # 500 words at most
 
     def slots(common: Column) -> Column:
@@ -185,7 +185,7 @@ def word_distance(words: Column, slots: Column, shares: Column) -> Column:
 
         return F.aggregate(numbers, start, add, finish)
 
-    found = let(slots, lambda t: F.array_sort(F.filter(F.transform(words, lambda w: number(t, F.lower(w))), lambda x: x.isNotNull())))
+    found = let(slots, lambda t: F.sort_array(F.filter(F.transform(words, lambda w: number(t, F.lower(w))), lambda x: x.isNotNull())))
     return let(found, lambda numbers: let(shares, lambda q: judged(numbers, q)))
 
 

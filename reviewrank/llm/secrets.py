@@ -36,6 +36,8 @@ KINDS = ("assign", "access", "hex", "markov")
 SPANS = "array<struct<start:int,kind_no:int,end:int>>"
 #: Documents of the training sample at most (about; chosen by the hash of doc_id).
 SAMPLE_DOCS = 20_000
+#: Weight of a character's own frequency against that of its transitions.
+SMOOTHING = 20.0
 #: A token is random if the ratio in natural logarithms reaches both, in total and per transition.
 LEAST_TOTAL, LEAST_MEAN = 8.0, 0.35
 
@@ -130,12 +132,18 @@ def token_spans_of_length(text: Column, least: int) -> Column:
 
 
 def _ratios(counts: dict[tuple[int, str], int]) -> Models:
+    """Transitions are smoothed by each model's own characters, and those by a uniform prior."""
     size, table = len(ALPHABET), []
-    row_sum = {(r, a): sum(counts.get((r, a + b), 0) for b in ALPHABET) for r in (0, 1) for a in ALPHABET}
+    from_sum = {(r, a): sum(counts.get((r, a + b), 0) for b in ALPHABET) for r in (0, 1) for a in ALPHABET}
+    to_sum = {(r, b): sum(counts.get((r, a + b), 0) for a in ALPHABET) for r in (0, 1) for b in ALPHABET}
+    whole = [sum(to_sum[r, b] for b in ALPHABET) for r in (0, 1)]
+
+    def log(r: int, a: str, b: str) -> float:
+        alone = (to_sum[r, b] + 0.5) / (whole[r] + 0.5 * size)
+        return math.log((counts.get((r, a + b), 0) + SMOOTHING * alone) / (from_sum[r, a] + SMOOTHING))
+
     for a in ALPHABET:
-        for b in ALPHABET:
-            logs = [math.log((counts.get((r, a + b), 0) + 0.5) / (row_sum[r, a] + 0.5 * size)) for r in (0, 1)]
-            table.append(logs[1] - logs[0])
+        table += [log(1, a, b) - log(0, a, b) for b in ALPHABET]
     return Models(table)
 
 

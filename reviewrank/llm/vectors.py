@@ -183,9 +183,9 @@ def _links(pages: DataFrame, pairs: DataFrame, size: int, least: float, kind: st
             near = xa[i : i + 512] @ xb.T >= least
             if a == b:
                 near[np.arange(len(near)), np.arange(i, i + len(near))] = False
-            links[i : i + 512] += near @ cb
+            links[i : i + len(near)] += near @ cb
             if a != b:
-                links[n:] += ca[i : i + 512] @ near
+                links[n:] += ca[i : i + len(near)] @ near
             u, v = np.nonzero(near)
             us.append((u + i).astype("i4"))
             vs.append((v + shift).astype("i4"))

@@ -42,7 +42,7 @@ def test_quality_base_counts(spark):
 
 
 def test_quality_divergence(spark):
-    good = [" ".join(words(i, 200)) for i in range(40)]
+    good = [" ".join(words(i, 1500)) for i in range(40)]
     shouted = [t.upper().replace(" ", "!! ") for t in good[:3]]
     foreign = [" ".join("xyzzy" + chr(97 + i % 26) for i in range(200))]
     table = docs(spark, [*good, *shouted, *foreign])
@@ -183,12 +183,12 @@ def test_language(spark):
     rows = [(i, text(lang, 60), lang) for i in range(60) for lang in parts]
     rows = [(k, t, lang) for k, (_, t, lang) in enumerate(rows)]
     table = spark.createDataFrame([*rows, (900, None, "aa"), (901, text("bb", 60), None)], "doc_id bigint, text string, lang string")
-    known = language.dictionaries(table.where("doc_id % 3 <> 0 or doc_id >= 900"))
+    known = language.dictionaries(table.where("doc_id % 4 <> 0 or doc_id >= 900"))
     assert sorted(known) == ["aa", "bb", "cc"]
     odd = spark.createDataFrame([(i, t, "x") for i, t in enumerate([None, "", "123 !?", text("bb", 3000), text("aa", 40)])], "doc_id bigint, text string, score string")
     got = {r["doc_id"]: r for r in language.identify(odd, known).collect()}
     assert [got[i]["lang_pred"] for i in range(5)] == ["und"] * 3 + ["bb", "aa"]
-    held = language.identify(table.where("doc_id % 3 = 0 and doc_id < 900"), known).collect()
+    held = language.identify(table.where("doc_id % 4 = 0 and doc_id < 900"), known).collect()
     truth = {k: lang for k, _, lang in rows}
     assert all(r["lang_pred"] == truth[r["doc_id"]] and 0 <= r["score"] <= 1 for r in held)
     assert language.dictionaries(table.limit(0)) == {}
