@@ -1,8 +1,8 @@
 """Secret scan: patterns, and character Markov models for strings that no pattern names.
 
 Two first-order models over the characters of tokens, one of random strings and one of ordinary
-identifiers, are trained from labelled samples: the values found by the patterns are random strings, the
-other long tokens are ordinary. A token that no pattern covers is a secret if the log-likelihood ratio
+identifiers, are trained from labelled samples: the values found by the patterns are random strings, other
+tokens in the form of words and identifiers are ordinary. A token that no pattern covers is a secret if the log-likelihood ratio
 says so with a margin, in total and per character. Everything is DataFrame expressions; spans are code
 points, end exclusive, and cover the whole match.
 
@@ -36,6 +36,8 @@ KINDS = ("assign", "access", "hex", "markov")
 SPANS = "array<struct<start:int,kind_no:int,end:int>>"
 #: Documents of the training sample at most (about; chosen by the hash of doc_id).
 SAMPLE_DOCS = 20_000
+#: Form of the training sample's ordinary identifiers: words of one case, capitalised, camel case, joined.
+IDENTIFIER = r"^(?:[A-Za-z]?[a-z]++(?:[_-]?[A-Z][a-z]++|[_-][a-z]++)*|[A-Z]+)$"
 #: Weight of a character's own frequency against that of its transitions.
 SMOOTHING = 20.0
 #: A token is random if the ratio in natural logarithms reaches both, in total and per transition.
@@ -111,7 +113,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Models:
     cut = lambda s: F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"])
     value = lambda m: F.regexp_replace(m, r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?""", "")
     random = F.transform("base", lambda s: value(cut(s)))
-    plain = F.transform(_outside(token_spans_of_length(F.col("text"), 6), F.col("base")), cut)
+    plain = F.filter(F.transform(_outside(token_spans_of_length(F.col("text"), 6), F.col("base")), cut), lambda t: t.rlike(IDENTIFIER))
     tokens = found.select(
         F.explode(
             F.concat(
