@@ -115,7 +115,7 @@ def references(docs: DataFrame) -> DataFrame:
     classes = written(sums.where(whole > 0).select("lang", shares.alias("class_shares")), "class-shares")
     each = named.select("lang", F.explode(words_of(F.lower("text"))).alias("word"))
     counts = written(each.groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    totals = written(counts.groupBy("lang").agg(F.sum("n").alias("total")), "word-totals")  # small: no shuffle of words by language
     common = counts.join(totals, "lang").where(F.col("n") >= F.col("total") * COMMON)
     sorted_words = F.sort_array(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("share"))))
     lists = common.groupBy("lang").agg(sorted_words.alias("common"))  # 500 words at most
