@@ -110,8 +110,13 @@ def is_weekend(c: Column) -> Column:
 # --- review flags and reason codes -------------------------------------------------------------
 
 
+def all_hold(checked: list[Column]) -> Column:
+    """True once every checked value has been computed. As a filter it runs whatever columns are read later."""
+    return reduce(lambda a, b: a & b, [c.isNull() | c.isNotNull() for c in checked])
+
+
 def parse_flag(df: DataFrame, name: str) -> Column:
-    """Boolean from a boolean, a number (its integer part is not 0) or true/1/yes, false/0/no."""
+    """Boolean from a boolean, a number or its text (its integer part is not 0) or true/yes, false/no."""
     dtype = df.schema[name].dataType.simpleString()
     c = F.col(name)
     if dtype == "boolean":
@@ -123,9 +128,11 @@ def parse_flag(df: DataFrame, name: str) -> Column:
         return F.when(value.isNotNull(), F.abs(value) >= 1.0).otherwise(bad)
     text = F.lower(strip(c))
     message = F.concat(F.lit("not a review flag: "), F.coalesce(c, F.lit("null")))
+    value = F.when(text.rlike(r"^[+-]?\d+(\.\d*)?$"), text.cast("double"))
     return (
-        F.when(text.isin("true", "1", "yes"), F.lit(True))
-        .when(text.isin("false", "0", "no"), F.lit(False))
+        F.when(value.isNotNull(), F.abs(value) >= 1.0)
+        .when(text.isin("true", "yes"), F.lit(True))
+        .when(text.isin("false", "no"), F.lit(False))
         .otherwise(F.raise_error(message).cast("boolean"))
     )
 

@@ -98,14 +98,14 @@ def inject(
             F.col("diagnosis_count")
         ),
     }
-    copies = labelled.filter(kind == "duplicate_like").withColumn("donor_key", donor_key)
+    copies = labelled.filter(kind.eqNullSafe("duplicate_like")).withColumn("donor_key", donor_key)
     copied = (
         copies.join(donors, "donor_key", "left")
         .withColumns({c: F.coalesce(F.col(f"donor_{c}"), F.col(c)) for c in COPIED_FIELDS})
         .withColumn("paid_amount", np_round(F.col("paid_amount"), 2))
         .select(*labelled.columns)
     )
-    return labelled.filter(kind != "duplicate_like").withColumns(changed).unionByName(copied)
+    return labelled.filter(~kind.eqNullSafe("duplicate_like")).withColumns(changed).unionByName(copied)
 
 
 def donor_table(claims: DataFrame, key: Column, order: Column) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewrank.functions.expr import (
+    all_hold,
     np_round,
     number,
     parse_flag,
@@ -30,7 +31,8 @@ def _unit_or_fail(df: DataFrame, name: str) -> Column:
 
 def prepare_queue(scored: DataFrame) -> DataFrame:
     """Typed and checked queue rows. A value that breaks the contract stops the job from inside
-    the plan, so no checking pass is needed. The result is not sorted; see ``by_ensemble``."""
+    the plan, whatever columns are read later, so no checking pass is needed. The result is not sorted;
+    see ``by_ensemble``."""
     require_columns(scored, QUEUE_COLUMNS, "Missing work-queue columns")
     changed = {
         "claim_id": F.col("claim_id").cast("string"),
@@ -45,7 +47,8 @@ def prepare_queue(scored: DataFrame) -> DataFrame:
     if "is_injected_anomaly" in scored.columns:
         label = F.coalesce(number(scored, "is_injected_anomaly"), F.lit(0.0))
         changed["is_injected_anomaly"] = label.cast("int")
-    prepared = scored.withColumns(changed)
+    checked = ["paid_amount", *QUEUE_SCORE_COLUMNS, "is_flagged"]
+    prepared = scored.withColumns(changed).where(all_hold([F.col(c) for c in checked]))
     return prepared.withColumn("reason_codes_display", reason_display(F.col("rule_reason_codes")))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from reviewrank.functions.expr import (
     add,
+    all_hold,
     at_least_zero,
     clean_text,
     count_populated,
@@ -117,7 +118,7 @@ def _stay(source: DataFrame, layout: Layout) -> Column:
 
 def canonical_records(df: DataFrame, claim_type: str) -> DataFrame:
     """One canonical row per source row, in a single projection. A missing id or a bad date stops
-    the job from inside the plan.
+    the job from inside the plan, whatever columns are read later.
 
     A row that names no provider gets one unique to its claim, so that unrelated claims neither
     form a false provider nor a hot key.
@@ -135,7 +136,7 @@ def canonical_records(df: DataFrame, claim_type: str) -> DataFrame:
     order = [F.coalesce(segment, F.lit(float("inf"))).alias("segment")]
     if FILE_ORDER in source.columns:
         order.append(F.col(FILE_ORDER).alias("row"))
-    return source.select(
+    records = source.select(
         claim_id.alias("claim_id"),
         raw_id.alias("source_claim_id"),
         F.concat(F.lit("CMS-BEN-"), person).alias("beneficiary_id"),
@@ -150,6 +151,8 @@ def canonical_records(df: DataFrame, claim_type: str) -> DataFrame:
         F.lit(kind).alias("source_file_type"),
         F.struct(*order).alias("_order"),
     )
+    checked = ["claim_id", "beneficiary_id", "service_date", "length_of_stay"]
+    return records.where(all_hold([F.col(c) for c in checked]))
 
 
 def first_by(name: str, order: Column) -> Column:

@@ -142,6 +142,8 @@ def test_bad_dates_stop_the_job_and_are_reported_first(spark):
     )
     with pytest.raises(Exception, match="no YYYYMMDD date in CLM_FROM_DT"):
         cms.adapt_cms(source.filter("CLM_ID < '3' and CLM_ID > ' '"), "outpatient").collect()
+    with pytest.raises(Exception, match="no YYYYMMDD date in CLM_FROM_DT"):
+        cms.adapt_cms(source.filter("CLM_ID < '3' and CLM_ID > ' '"), "outpatient").agg({"paid_amount": "sum"}).collect()
     found = {r["problem"]: (r["rows"], r["examples"]) for r in cms.source_problems(source, "outpatient").collect()}
     assert found == {"missing CLM_ID": (1, []), "invalid CLM_FROM_DT": (2, ["2009-01-01", "20091341"])}
 

@@ -56,7 +56,7 @@ def test_reason_text(spark, text, codes):
 
 @pytest.mark.parametrize(
     ("value", "flag"),
-    [(" YES ", True), ("no", False), (2, True), (0.9, False), (-1.5, True), (True, True)],
+    [(" YES ", True), ("no", False), (2, True), (0.9, False), (-1.5, True), (True, True), ("1.0", True), ("0.0", False), ("1", True)],
 )
 def test_flags(spark, value, flag):
     frame = spark.createDataFrame(ROWS[:1], SCHEMA).withColumn("is_flagged", F.lit(value))
@@ -77,6 +77,9 @@ def test_bad_values_fail(spark, column, value, message):
     frame = spark.createDataFrame(ROWS, SCHEMA).withColumn(column, F.lit(value).cast("string"))
     with pytest.raises(Exception, match=message):
         qu.prepare_queue(frame).collect()
+    for figures in [qu.summarize_queue, qu.score_histogram, lambda q: q.agg(F.sum("paid_amount"))]:
+        with pytest.raises(Exception, match=message):
+            figures(qu.prepare_queue(frame)).collect()
 
 
 def test_missing_columns(spark):
