@@ -84,7 +84,7 @@ def ingest_source_problems(spark, sf_dir):
     spoilt = source.withColumns(
         {
             "DESYNPUF_ID": F.when(F.col("DESYNPUF_ID").cast("long") % 13 == 0, " nan ").otherwise(F.col("DESYNPUF_ID")),
-            "SRVC_DT": F.when(F.col("DESYNPUF_ID").cast("long") % 17 == 0, "2009-01-01").otherwise(F.col("SRVC_DT")),
+            "SRVC_DT": F.when(F.col("DESYNPUF_ID").cast("long") % 17 == 0, F.concat(F.lit("day "), "DESYNPUF_ID")).otherwise(F.col("SRVC_DT")),
         }
     )
     found = cms.source_problems(spoilt, "pharmacy")
@@ -397,10 +397,12 @@ def queue_display(spark, sf_dir):
 
 @query
 def queue_detail(spark, sf_dir):
-    """Fields of every flagged claim, one row per field (number texts differ between engines, so
-    only whole numbers and words are shown)."""
-    visible = queue.filter_queue(_queue(spark, sf_dir)).withColumn("service_date", F.to_date("service_date"))
-    return queue.claim_details(visible.drop("provider_paid_zscore"))
+    """All fields of every flagged claim, one row per field; the z-score as text of four digits."""
+    score = F.format_string("%.4f", F.round("provider_paid_zscore", 4) + F.lit(0.0))
+    visible = queue.filter_queue(_queue(spark, sf_dir)).withColumns(
+        {"service_date": F.to_date("service_date"), "provider_paid_zscore": score}
+    )
+    return queue.claim_details(visible)
 
 
 @query

@@ -203,20 +203,16 @@ def with_(ctes: str, body: str) -> str:
 
 
 CARRIER = """
-lines AS (
-  SELECT l_orderkey, o_custkey, o_orderdate, l_linenumber, max(l_extendedprice) AS paid, max(l_partkey) AS part,
-         max(l_suppkey) AS supplier, max(l_discount) AS discount
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber BETWEEN 1 AND 7
-  GROUP BY ALL
-)
 SELECT 'CMS-CARRIER-' || l_orderkey AS claim_id, CAST(l_orderkey AS VARCHAR) AS source_claim_id,
        'CMS-BEN-' || o_custkey AS beneficiary_id,
-       'CMS-PRV-' || first(supplier ORDER BY l_linenumber) AS provider_id, 'carrier' AS claim_type,
-       round_even(sum(paid ORDER BY l_linenumber) * 1e2, 0) / 1e2 AS paid_amount,
-       count_if(discount > 0) AS diagnosis_count, count(part) AS procedure_count, count(part) AS units,
+       'CMS-PRV-' || first(l_suppkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS provider_id,
+       'carrier' AS claim_type,
+       round_even(sum(l_extendedprice ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) * 1e2, 0) / 1e2
+         AS paid_amount,
+       count_if(l_discount > 0) AS diagnosis_count, count(l_partkey) AS procedure_count, count(l_partkey) AS units,
        CAST(0 AS BIGINT) AS length_of_stay, 'carrier' AS source_file_type,
        CAST(1 AS BIGINT) AS source_record_count, strftime(o_orderdate, '%Y-%m-%d') AS service_date
-FROM lines GROUP BY l_orderkey, o_custkey, o_orderdate"""
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey, o_custkey, o_orderdate"""
 
 FACILITY = """
 SELECT 'CMS-INPATIENT-' || l_orderkey AS claim_id, CAST(l_orderkey AS VARCHAR) AS source_claim_id,
@@ -254,8 +250,7 @@ PROBLEMS = """
 SELECT 'missing DESYNPUF_ID' AS problem, count(*) AS rows, '' AS examples
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey % 13 = 0 HAVING count(*) > 0
 UNION ALL
-SELECT 'invalid SRVC_DT', count(*), array_to_string(list_resize(['2009-01-01', '2009-01-01', '2009-01-01'],
-       least(3, count(*))), '|')
+SELECT 'invalid SRVC_DT', count(*), array_to_string(list_sort(list(DISTINCT 'day ' || o_custkey))[1:3], '|')
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey % 17 = 0 HAVING count(*) > 0"""
 
 REPORT = """,
@@ -311,6 +306,7 @@ DETAILS = " UNION ALL ".join(
         "Units": "units",
         "Provider claims · 30d": "provider_claim_count_30d",
         "Beneficiary claims · 30d": "beneficiary_claim_count_30d",
+        "Provider paid z-score": "printf('%.4f', round(provider_paid_zscore, 4) + 0e0)",
         "Duplicate indicator": "duplicate_indicator",
         "Weekend service": "weekend_service",
     }.items()
@@ -347,7 +343,7 @@ SELECT claim_id, broken_rules = '' AS accepted, broken_rules FROM judged"""
 
 ORACLE: dict[str, str] = {
     "collapse_segments": with_(CLAIMS, f"SELECT {CLAIM_FIELDS}, source_record_count FROM claims"),
-    "ingest_carrier_wide": "WITH " + CARRIER,
+    "ingest_carrier_wide": CARRIER,
     "ingest_facility": FACILITY,
     "ingest_pharmacy": PHARMACY,
     "ingest_source_problems": PROBLEMS,

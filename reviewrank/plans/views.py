@@ -12,7 +12,13 @@ from reviewrank.operators.rules import rules_with, score_rules
 from reviewrank.session import written
 from reviewrank.sources.cms import collapse_segments
 
-LINES = range(1, 8)
+# Columns of a wide carrier extract that come once per record, in the order that sorts records of one line.
+CARRIER_CELLS = {
+    "HCPCS_CD": "l_partkey",
+    "PRF_PHYSN_NPI": "l_suppkey",
+    "LINE_NCH_PMT_AMT": "l_extendedprice",
+    "ICD9_DGNS_CD": "l_discount",
+}
 # Limits at which every rule fires on the test tables.
 LIMITS = {
     "provider_paid_zscore": 1.6,
@@ -104,26 +110,25 @@ def amount_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One text row per order, with one group of columns per line number; missing lines are null."""
-    per_line = {
-        "LINE_NCH_PMT_AMT": F.col("l_extendedprice"),
-        "HCPCS_CD": F.col("l_partkey"),
-        "PRF_PHYSN_NPI": F.col("l_suppkey"),
-        "ICD9_DGNS_CD": F.col("l_discount"),
-    }
-    cells = [
-        F.max(F.when(F.col("l_linenumber") == n, value)).alias(f"{name}_{n}")
-        for name, value in per_line.items()
-        for n in LINES
-    ]
-    wide = order_lines(spark, sf_dir).groupBy("l_orderkey", "o_custkey", "o_orderdate").agg(*cells)
-    codes = [f"ICD9_DGNS_CD_{n}" for n in LINES]
-    return wide.select(
+    """One text row per order, with one group of columns per record of the order, by line number. There
+    are as many groups as the largest order has records; missing ones are null."""
+    lines = order_lines(spark, sf_dir)
+    most = lines.groupBy("l_orderkey").count().agg(F.max("count")).first()[0] or 1
+    record = F.struct("l_linenumber", *CARRIER_CELLS.values())
+    per_order = lines.groupBy("l_orderkey", "o_custkey", "o_orderdate").agg(
+        F.array_sort(F.collect_list(record)).alias("records")
+    )
+
+    def cell(column: str, n: int) -> Column:
+        value = F.get("records", F.lit(n))[column]
+        text = value.cast("string")
+        return F.when(value == 0, " NaN ").otherwise(text) if column == "l_discount" else text
+
+    return per_order.select(
         F.col("o_custkey").cast("string").alias("DESYNPUF_ID"),
         F.col("l_orderkey").cast("string").alias(" clm_id "),
         F.date_format("o_orderdate", "yyyyMMdd").alias("CLM_FROM_DT"),
-        *[F.col(c).cast("string") for c in wide.columns[3:] if c not in codes],
-        *[F.when(F.col(c) == 0, " NaN ").otherwise(F.col(c).cast("string")).alias(c) for c in codes],
+        *[cell(c, n).alias(f"{name}_{n + 1}") for name, c in CARRIER_CELLS.items() for n in range(most)],
     )
 
 

@@ -42,9 +42,10 @@ def scratch_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _LOCAL_FOLDERS.setdefault(
-        spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="reviewrank-")
-    )
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="reviewrank-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

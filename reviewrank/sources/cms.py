@@ -24,6 +24,7 @@ from reviewrank.functions.expr import (
     yyyymmdd_or_null,
     yyyymmdd_text,
 )
+from reviewrank.operators.validate import check_claims
 from reviewrank.schema import require_columns
 from reviewrank.sources.tables import read_claims, read_text_csv, write_claims
 
@@ -191,7 +192,7 @@ def adapt_cms(df: DataFrame, claim_type: str) -> DataFrame:
 
 
 def source_problems(df: DataFrame, claim_type: str) -> DataFrame:
-    """What would stop the adapter: ``problem, rows, examples`` (up to 3 values), before a long run."""
+    """What would stop the adapter: ``problem, rows, examples`` (the 3 smallest values), before a long run."""
     source, _, layout = _source(df, claim_type)
     dates = [layout.date]
     if layout.has_stay and STAY_DAYS not in source.columns:
@@ -204,15 +205,16 @@ def source_problems(df: DataFrame, claim_type: str) -> DataFrame:
     for name in dates:
         bad = source.filter(yyyymmdd_text(name).isNotNull() & yyyymmdd_or_null(name).isNull())
         total = bad.agg(F.count(F.lit(1)).alias("rows"))
-        some = bad.select(yyyymmdd_text(name).alias("v")).limit(3).agg(F.sort_array(F.collect_list("v")))
+        least = bad.select(yyyymmdd_text(name).alias("v")).distinct().orderBy("v").limit(3)
+        some = least.agg(F.sort_array(F.collect_list("v")))
         one = total.select(F.lit(f"invalid {name}").alias("problem"), "rows", some.scalar().alias("examples"))
         rows = rows.unionByName(one)
     return rows.filter("rows > 0")
 
 
-def read_cms_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_cms_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All columns as text, plus the place of the row in the files, for "first" among segments."""
-    source = read_text_csv(spark, path)
+    source = read_text_csv(spark, path, multi_line)
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -221,12 +223,23 @@ def read_cms_csv(spark: SparkSession, path: str) -> DataFrame:
     return source.withColumn(FILE_ORDER, place)
 
 
-def ingest_cms_csv(spark: SparkSession, path: str, claim_type: str, output: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """Adapt a CSV extract, write it when ``output`` is given, and return the claims."""
-    claims = adapt_cms(read_cms_csv(spark, path), claim_type)
+def ingest_cms_csv(
+    spark: SparkSession,
+    path: str,
+    claim_type: str,
+    output: str | None = None,
+    fmt: str = "parquet",
+    multi_line: bool = False,
+) -> DataFrame:
+    """Adapt a CSV extract, write and check it when ``output`` is given, and return the claims.
+
+    Claims that break a rule, an empty table among them, raise; they lie at ``output`` to be looked at.
+    Without ``output`` nothing runs yet, and the caller checks with ``check_claims``.
+    """
+    claims = adapt_cms(read_cms_csv(spark, path, multi_line), claim_type)
     if output is None:
         return claims
     write_claims(claims, output, fmt)
-    if fmt == "parquet":
-        return spark.read.schema(claims.schema).parquet(output)
-    return read_claims(spark, output, fmt)
+    stored = spark.read.schema(claims.schema).parquet(output) if fmt == "parquet" else read_claims(spark, output, fmt)
+    check_claims(stored)
+    return stored

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from reviewrank.operators.validate import check_claims
 from reviewrank.sources import cms
-from reviewrank.sources.tables import read_claims
+from reviewrank.sources.tables import read_claims, read_text_csv
 
 
 def frame(spark, **columns):
@@ -187,3 +187,36 @@ def test_csv_to_claims_and_back(spark, tmp_path):
     assert dict(again.dtypes)["paid_amount"] == "double" and dict(again.dtypes)["units"] == "bigint"
     parquet = cms.ingest_cms_csv(spark, path, "outpatient", str(tmp_path / "parquet"))
     assert sorted(parquet.select(*again.columns).collect(), key=str) == sorted(again.collect(), key=str)
+
+
+def test_short_csv_rows_end_in_nulls(spark, tmp_path):
+    path = write_csv(tmp_path / "a.csv", "A,B,C", ["1,2,3", "4,5", '"6, and 7",8,'])
+    rows = [tuple(r) for r in read_text_csv(spark, path).collect()]
+    assert rows == [("1", "2", "3"), ("4", "5", None), ("6, and 7", "8", None)]
+
+
+@pytest.mark.parametrize(
+    ("row", "message"), [("3,4,5", "more cells than the header"), ('3,4,"5,6",7', "more cells"), ('"x', "inside quotes")]
+)
+def test_csv_rows_that_would_lose_cells_stop_the_job(spark, tmp_path, row, message):
+    table = read_text_csv(spark, write_csv(tmp_path / "a.csv", "A,B", ["1,2", row]))
+    for read in (table.collect, table.count, table.select("B").collect, table.agg(F.max("A")).collect):
+        with pytest.raises(Exception, match=message):
+            read()
+
+
+def test_csv_line_breaks_inside_quotes(spark, tmp_path):
+    path = write_csv(tmp_path / "a.csv", "A,B", ['"x', 'y",7', "1,2"])
+    with pytest.raises(Exception, match="inside quotes"):
+        read_text_csv(spark, path).count()
+    rows = [tuple(r) for r in read_text_csv(spark, path, multi_line=True).collect()]
+    assert rows == [("x\ny", "7"), ("1", "2")]
+    wide = write_csv(tmp_path / "b.csv", "A,B", ['"x', 'y",7,8'])
+    with pytest.raises(Exception, match="more cells"):
+        read_text_csv(spark, wide, multi_line=True).count()
+
+
+def test_extract_without_claims_is_refused(spark, tmp_path):
+    path = write_csv(tmp_path / "a.csv", "DESYNPUF_ID,PDE_ID,SRVC_DT,PROD_SRVC_ID,QTY_DSPNSD_NUM,TOT_RX_CST_AMT", [])
+    with pytest.raises(ValueError):
+        cms.ingest_cms_csv(spark, path, "pharmacy", str(tmp_path / "out"))
