@@ -22,9 +22,9 @@ def check_scores(scored: DataFrame) -> None:
     if not found["rows"]:
         raise ValueError("there are no scored claims")
     if found["missing"]:
-        raise ValueError("ensemble scores must be numbers")
+        raise ValueError("some scores are missing or no numbers")
     if found["outside"]:
-        raise ValueError("rule_score must be between 0 and 1")
+        raise ValueError("some rule scores lie outside [0, 1]")
 
 
 def blend(scored: DataFrame, model_weight: float = 0.90, table: DataFrame | None = None) -> DataFrame:
@@ -33,7 +33,7 @@ def blend(scored: DataFrame, model_weight: float = 0.90, table: DataFrame | None
     ``table`` is the rank table of the model scores of just these rows, where there already is one.
     """
     check_weight(model_weight)
-    require_columns(scored, ["model_anomaly_score", "rule_score"], "Missing ensemble score columns")
+    require_columns(scored, ["model_anomaly_score", "rule_score"], "the blend lacks scores")
     check_scores(scored)
     typed = scored.withColumns(
         {c: number(scored, c) for c in ["model_anomaly_score", "rule_score"]}

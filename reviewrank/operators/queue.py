@@ -18,14 +18,14 @@ from reviewrank.schema import QUEUE_COLUMNS, QUEUE_SCORE_COLUMNS, require_column
 
 
 def _number_or_fail(df: DataFrame, name: str) -> Column:
-    bad = F.concat(F.lit(f"{name} must be numeric: "), F.col(name).cast("string"))
+    bad = F.concat(F.lit(f"{name} is not a number: "), F.col(name).cast("string"))
     value = number(df, name)
     return F.when(value.isNull() & F.col(name).isNotNull(), F.raise_error(bad).cast("double")).otherwise(value)
 
 
 def _unit_or_fail(df: DataFrame, name: str) -> Column:
     value = _number_or_fail(df, name)
-    bad = F.raise_error(F.lit(f"{name} must be between 0 and 1")).cast("double")
+    bad = F.raise_error(F.lit(f"{name} lies outside [0, 1]")).cast("double")
     return F.when(value.between(0.0, 1.0), value).otherwise(bad)
 
 
@@ -33,7 +33,7 @@ def prepare_queue(scored: DataFrame) -> DataFrame:
     """Typed and checked queue rows. A value that breaks the contract stops the job from inside
     the plan, whatever columns are read later, so no checking pass is needed. The result is not sorted;
     see ``by_ensemble``."""
-    require_columns(scored, QUEUE_COLUMNS, "Missing work-queue columns")
+    require_columns(scored, QUEUE_COLUMNS, "the queue lacks columns")
     changed = {
         "claim_id": F.col("claim_id").cast("string"),
         "claim_type": F.col("claim_type").cast("string"),

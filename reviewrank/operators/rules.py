@@ -47,7 +47,7 @@ def rules_with(**limits: float) -> tuple[Rule, ...]:
 
 def score_rules(featured: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Adds ``rule_score`` in [0, 1] and ``rule_reason_codes``, in one projection."""
-    require_columns(featured, [rule.column for rule in rules], "Missing rule features")
+    require_columns(featured, [rule.column for rule in rules], "the rules lack columns")
     if not math.isclose(sum(rule.weight for rule in rules), 1.0, abs_tol=1e-8):
         raise ValueError("rule weights must sum to 1")
     hits = [(rule, rule.hit(featured)) for rule in rules]

@@ -11,7 +11,7 @@ from reviewrank.functions.expr import np_round
 from reviewrank.operators import ensemble, evaluate, features, forest, queue, ranking, rules, validate
 from reviewrank.plans import views
 from reviewrank.plans.jobs import rank_claims
-from reviewrank.schema import ENRICHED, NUMERIC_FEATURES, Settings
+from reviewrank.schema import ENRICHED, NUMERIC_FEATURES
 from reviewrank.session import scratch_path, written
 from reviewrank.sources import cms, tables
 from reviewrank.streaming.scoring import read_enriched_stream, read_scores, start_scoring
@@ -480,7 +480,7 @@ def iforest_scores(spark, sf_dir):
 @query
 def strategy_metrics_of_run(spark, sf_dir):
     claims = views.injected(spark, sf_dir)
-    ranked = rank_claims(claims.select(*views.CLAIM_COLUMNS, "is_injected_anomaly", "anomaly_scenario"), Settings())
+    ranked = rank_claims(claims.select(*views.CLAIM_COLUMNS, "is_injected_anomaly", "anomaly_scenario"))
     return ranked.comparison
 
 
