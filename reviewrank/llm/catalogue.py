@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewrank.llm import bpe, language, packing, passage_quality, passages, quality_rules, secrets, simhash, urls, vectors
+from reviewrank.llm import (
+    bpe,
+    conversations,
+    divergence,
+    language,
+    packing,
+    passage_quality,
+    passages,
+    quality_rules,
+    secrets,
+    simhash,
+    urls,
+    vectors,
+    winnowing,
+)
 from reviewrank.llm.oracle import ORACLE
 
 
@@ -89,6 +103,18 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(table(spark, folder, "conversations")))
+
+
+def op12_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.edited_texts(table(spark, folder, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_vectors": op1_vectors,
     "op2_quality_rules": op2_quality_rules,
@@ -100,6 +126,9 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_passages": op10_passages,
+    "op11_conversations": op11_conversations,
+    "op12_winnowing": op12_winnowing,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -116,3 +116,97 @@ SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
             WHEN listed.curl IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled LEFT JOIN listed ON ruled.curl = listed.curl
 """
+
+ORACLE["op13_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), tokens AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x{00}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) AS term FROM d
+), kept AS (
+  SELECT lang, term FROM tokens GROUP BY lang, term HAVING count(DISTINCT doc) >= 30
+), groups AS (SELECT DISTINCT lang, source FROM d
+), cells AS (
+  SELECT g.lang, g.source, k.term, count(t.term)::HUGEINT AS n
+  FROM groups g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN tokens t ON t.lang = g.lang AND t.source = g.source AND t.term = k.term GROUP BY ALL
+), shares AS (
+  SELECT lang, source, term, n,
+         1 + 1000000000 * (n + 5) // (sum(n) OVER (PARTITION BY lang, source) + 5 * count(*) OVER (PARTITION BY lang, source)) AS p
+  FROM cells
+), whole AS (
+  SELECT lang, term, 1 + 1000000000 * (sum(n) + 5) // (sum(sum(n)) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS q
+  FROM cells GROUP BY lang, term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source
+), found AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM found
+QUALIFY part = 'pair' OR rank <= 50
+"""
+
+ORACLE["op11_conversations"] = r"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+), summed AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, (v & 1) * 3988292384::BIGINT + z)))) % 20 AS fault
+  FROM named
+), hit AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+  FROM summed, LATERAL (SELECT unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy) WHERE fault <> 0
+), placed AS (
+  SELECT *, row_number() OVER w AS pos, left(role, 1) AS initial, lag(left(role, 1)) OVER w AS before,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen
+  FROM hit WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+), judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM placed
+), figures AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count_if(fault = 'blank') AS blank,
+         count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated,
+         count_if(before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n
+  FROM judged GROUP BY conv_id
+), added(top, price, mark, upto, lines) AS (
+  VALUES ('-', 0, '', '-', ''), ('-', 3, 'I', 'u', 'user:' || chr(10)), ('-', 6, 'II', 'a', 'user:' || chr(10) || 'assistant:' || chr(10)),
+         ('s', 0, '', 's', ''), ('s', 3, 'I', 'u', 'user:' || chr(10)), ('s', 6, 'II', 'a', 'user:' || chr(10) || 'assistant:' || chr(10)),
+         ('u', 0, '', 'u', ''), ('u', 3, 'I', 'a', 'assistant:' || chr(10)), ('a', 0, '', 'a', ''), ('a', 3, 'I', 'u', 'user:' || chr(10))
+), follows(top, next) AS (VALUES ('-', 's'), ('-', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')
+), parse AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS pos, '-' AS top, 0::BIGINT AS cost, '' AS audit, '' AS lines FROM figures
+  UNION ALL
+  SELECT conv_id, pos, top, cost, audit, lines FROM (
+    SELECT p.conv_id, j.pos, e.next AS top, p.cost + e.price AS cost, p.audit || e.mark AS audit, p.lines || e.lines AS lines
+    FROM parse p JOIN judged j ON j.conv_id IS NOT DISTINCT FROM p.conv_id AND j.pos = p.pos + 1,
+    LATERAL (
+      SELECT p.top AS next, 4 AS price, 'D' AS mark, '' AS lines
+      UNION ALL
+      SELECT f.next, x.price + CASE WHEN j.fault = 'truncated' THEN 3 ELSE 0 END + CASE WHEN f.next = j.initial THEN 0 ELSE 3 END,
+             x.mark || CASE WHEN f.next = j.initial THEN 'K' ELSE 'R' END,
+             x.lines || CASE WHEN f.next = j.initial THEN j.role WHEN f.next = 'u' THEN 'user' ELSE 'assistant' END || ':' || j.text || chr(10)
+      FROM added x JOIN follows f ON f.top = x.upto
+      WHERE x.top = p.top AND j.fault NOT IN ('blank', 'duplicate') AND (f.next = j.initial OR f.next IN ('u', 'a'))
+    ) e
+  ) QUALIFY row_number() OVER (PARTITION BY conv_id, top ORDER BY cost, audit) = 1
+), ended AS (
+  SELECT p.conv_id, p.cost + x.price AS cost, p.audit || x.mark AS audit, p.lines || x.lines AS lines
+  FROM parse p JOIN figures f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.n = p.pos
+  JOIN added x ON x.top = p.top AND (x.upto = 'a' OR (x.upto = '-' AND x.price = 0))
+  QUALIFY row_number() OVER (PARTITION BY p.conv_id ORDER BY p.cost + x.price, p.audit || x.mark) = 1
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(left(lines, length(lines) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
