@@ -25,3 +25,7 @@ def words_of(text: Column) -> Column:
     )
 
 
+def drawn(wanted: int, rows: int, *key: Column | str) -> Column:
+    """True for about ``wanted`` of ``rows`` rows, by a 64-bit hash of the key: the same at any size of table."""
+    limit = (1 << 63) - 1 if rows <= wanted else int(-(2**63) + wanted / rows * 2**64)
+    return F.xxhash64(*key) <= F.lit(limit)

@@ -1,19 +1,19 @@
 """Document fingerprints by winnowing (Schleimer, Wilkerson & Aiken, SIGMOD 2003), in native expressions.
 
-Every k-gram of code points is hashed; of each window of consecutive hashes the smallest is chosen, the
+A text's symbols are its words, cut after ``SYMBOL`` code points, so that a text without blanks has symbols too.
+Every k-gram of symbols is hashed; of each window of consecutive hashes the smallest is chosen, the
 rightmost one where several are equal, and kept with its position. Two texts that share a run of
-``window + gram - 1`` code points or more therefore share a chosen hash, and a chosen hash that they share
-comes from an equal run of ``gram`` code points (but for collisions of 53 bits).
+``window + gram - 1`` symbols or more therefore share a chosen hash, and a chosen hash that they share
+comes from an equal run of ``gram`` symbols (but for collisions of 36 bits).
 
-Array functions keep no running state at a bearable price: a fold that rolls a polynomial hash along the
-text takes about ten times as long as hashing each k-gram, so XXH64 of the k-gram stands for it.
+Array functions keep no running state at a bearable price, so a k-gram is hashed by XXH64 afresh instead of
+being rolled on from the one before; and code points as symbols cost about ten times as much (README).
 
-Texts are worked through in blocks of window starts; a block also holds the code points that its last
-window reaches, so blocks are independent of each other and only what they choose is kept.
+Memory is in proportion to one text: about 20 bytes a byte while it is worked on.
 
-Defined cases: a null text is empty; an empty text has an empty fingerprint; a text shorter than a k-gram
-is hashed as a whole; one shorter than a window has one chosen hash. Repeated rows stay, with equal
-fingerprints. Further columns are left alone.
+Defined cases: a null text is empty; a text without symbols has an empty fingerprint; one of fewer symbols
+than a k-gram is hashed as a whole; one of fewer k-grams than a window has one chosen hash. Repeated rows
+stay, with equal fingerprints. Further columns are left alone.
 """
 
 from __future__ import annotations
@@ -21,103 +21,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewrank.llm.arrays import let
+from reviewrank.llm.arrays import drawn, let
 
-GRAM = 24
-WINDOW = 40
-#: Window starts of one block, and bits for a place inside a block.
-BLOCK = 512
-PLACE_BITS = 10
-#: K-grams are cut out of short pieces, as finding the n-th code point takes n steps.
-PIECE = 32
+GRAM = 5
+WINDOW = 8
+SYMBOL = 12
+#: Low bits that hold a position; the hash has the others.
+PLACE_BITS = 28
 #: Ids drawn per bucket to place the bounds of the buckets; they steer balance only.
 IDS_PER_BUCKET = 32
 
 
-def _overlapping(text: Column, size: int, beyond: int) -> Column:
-    """Stretches of ``size`` code points, each with up to ``beyond`` that follow it."""
-    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{1,{size + beyond}}})).{{1,{size}}}"), F.lit(1))
+def symbols_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(rf"[^\x20\x09-\x0D]{{1,{SYMBOL}}}"), F.lit(0))
 
 
 def _packed(gram: Column, place: Column) -> Column:
     """Hash and place in one number: the smaller hash comes first, then the place further right."""
     last = (1 << PLACE_BITS) - 1
-    return F.xxhash64(gram).bitwiseAND(F.lit(~last)).bitwiseOR(F.lit(last) - place.cast("long"))
+    return F.xxhash64(gram).bitwiseAND(F.lit(~last)).bitwiseOR(F.lit(last) - place)
 
 
-def _hashes(block: Column, gram: int) -> Column:
-    def of_piece(piece: Column, i: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.length(piece) - (gram - 1))
-        cut = lambda j: _packed(F.substring(piece, j, F.lit(gram)), i * PIECE + j - 1)
-        return F.when(F.length(piece) >= gram, F.transform(starts, cut)).otherwise(F.array().cast("array<bigint>"))
+def _hashes(symbols: Column, gram: int) -> Column:
+    starts = F.sequence(F.lit(1), F.greatest(F.size(symbols) - (gram - 1), F.lit(1)))
+    each = F.transform(starts, lambda i: _packed(F.slice(symbols, i, F.lit(gram)), i - 1))
+    return F.when(F.size(symbols) > 0, each).otherwise(F.array().cast("array<bigint>"))
 
-    return F.flatten(F.transform(_overlapping(block, PIECE, gram - 1), of_piece))
 
+def _minima(hashes: Column, window: int) -> Column:
+    starts = F.sequence(F.lit(1), F.greatest(F.size(hashes) - (window - 1), F.lit(1)))
+    each = F.transform(starts, lambda i: F.array_min(F.slice(hashes, i, F.lit(window))))
+    return F.when(F.size(hashes) > 0, F.array_distinct(each)).otherwise(hashes)
 
-def _place(packed: Column) -> Column:
-    last = (1 << PLACE_BITS) - 1
-    return (F.lit(last) - packed.bitwiseAND(F.lit(last))).cast("int")
 
+def chosen(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
+    """The chosen hashes of a text from left to right, packed with their positions."""
+    return let(symbols_of(text), lambda s: let(_hashes(s, gram), lambda v: _minima(v, window)))
 
-def _minima(hashes: Column, window: int) -> Column:
-    """The smallest of each window, once each, from left to right.
-
-    From one choice to the next: the first smaller hash in reach takes over; without one, the smallest of
-    the window that begins after the choice does, if there still is a whole one.
-    """
 
-    def walk(v: Column) -> Column:
-        def after(chosen: Column) -> Column:
-            first = _place(chosen) + 2
-            lower = F.get(F.filter(F.slice(v, first, F.lit(window - 1)), lambda x: x < chosen), F.lit(0))
-            whole = first - 1 + window <= F.size(v)
-            return F.coalesce(lower, F.when(whole, F.array_min(F.slice(v, first, F.lit(window)))))
-
-        def step(state: Column, _: Column) -> Column:
-            moved = let(
-                after(F.element_at(state["found"], -1)),
-                lambda x: F.when(x.isNull(), F.struct(state["found"].alias("found"), F.lit(True).alias("done"))).otherwise(
-                    F.struct(F.concat(state["found"], F.array(x)).alias("found"), F.lit(False).alias("done"))
-                ),
-            )
-            return F.when(state["done"], state).otherwise(moved)
-
-        start = F.struct(F.array(F.array_min(F.slice(v, 1, window))).alias("found"), F.lit(False).alias("done"))
-        return F.aggregate(F.sequence(F.lit(1), F.size(v)), start, step, lambda s: s["found"])
-
-    return let(hashes, walk)
-
-
-def chosen_by_block(text: Column, gram: int = GRAM, window: int = WINDOW, first: Column | None = None) -> Column:
-    """The chosen hashes of each block of a text, packed; ``first`` says whether the text starts here."""
-    if window + BLOCK >= 1 << PLACE_BITS or gram < 1 or window < 2:
-        raise ValueError("the window does not fit into a block")
-    first = F.lit(True) if first is None else first
-    none = F.array().cast("array<bigint>")
-
-    def of_block(block: Column, i: Column) -> Column:
-        length = F.length(block)
-        alone = (i == 0) & first
-        return (
-            F.when(length >= gram + window - 1, _minima(_hashes(block, gram), window))
-            .when(alone & (length >= gram), F.array(F.array_min(_hashes(block, gram))))
-            .when(alone, F.array(_packed(block, F.lit(0))))
-            .otherwise(none)
-        )
-
-    return F.transform(_overlapping(text, BLOCK, gram + window - 2), of_block)
-
-
-def hash_set(blocks: Column) -> Column:
+def hash_set(found: Column) -> Column:
     """The different chosen hashes."""
-    return F.array_distinct(F.transform(F.flatten(blocks), lambda v: F.shiftright(v, PLACE_BITS)))
+    return F.array_distinct(F.transform(found, lambda v: F.shiftright(v, PLACE_BITS)))
 
 
-def as_text(blocks: Column) -> Column:
-    """``hash@position`` of each chosen hash from left to right, blank-joined; positions count code points."""
-    shown = lambda v, i: F.concat(F.lower(F.hex(F.shiftrightunsigned(v, PLACE_BITS))), F.lit("@"), i * BLOCK + _place(v))
-    marks = F.flatten(F.transform(blocks, lambda b, i: F.transform(b, lambda v: shown(v, i))))
-    return F.array_join(F.array_distinct(marks), " ")  # the last choice of a block may be the first of the next
+def as_text(found: Column) -> Column:
+    """``hash@position`` of each chosen hash from left to right, blank-joined; positions count symbols."""
+    last = F.lit((1 << PLACE_BITS) - 1)
+    shown = lambda v: F.concat(F.lower(F.hex(F.shiftrightunsigned(v, PLACE_BITS))), F.lit("@"), last - v.bitwiseAND(last))
+    return F.array_join(F.transform(found, shown), " ")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -128,8 +79,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprints(docs: DataFrame, text: str = "text", gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Adds ``fingerprint`` and ``hashes``; one pass over the rows, nothing is shuffled."""
-    blocks = docs.withColumn("_blocks", chosen_by_block(F.coalesce(F.col(text), F.lit("")), gram, window))
-    return blocks.withColumns({"fingerprint": as_text(F.col("_blocks")), "hashes": hash_set(F.col("_blocks"))}).drop("_blocks")
+    found = docs.withColumn("_chosen", chosen(F.coalesce(F.col(text), F.lit("")), gram, window))
+    return found.withColumns({"fingerprint": as_text(F.col("_chosen")), "hashes": hash_set(F.col("_chosen"))}).drop("_chosen")
 
 
 # --- documents beside the next one ---------------------------------------------------------------
@@ -139,9 +90,8 @@ def _bounds(keyed: DataFrame, spark: SparkSession) -> list:
     """Keys that cut the rows into about equal buckets, from ids drawn by hash; literals, so stable on a retry."""
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows, wanted = keyed.count(), buckets * IDS_PER_BUCKET
-    limit = (1 << 63) - 1 if rows <= wanted else int(-(2**63) + wanted / rows * 2**64)
-    drawn = keyed.where(F.xxhash64("_key", F.lit(7)) <= F.lit(limit)).distinct()
-    keys = [r["_key"] for r in drawn.orderBy("_key").collect()]
+    some = keyed.where(drawn(wanted, rows, F.lit("bounds"), "_key")).distinct()
+    keys = [r["_key"] for r in some.orderBy("_key").collect()]
     return list(dict.fromkeys(keys[i * len(keys) // buckets] for i in range(1, buckets))) if keys else []
 
 
@@ -153,10 +103,10 @@ def _bucket(bounds: list, id_type: str) -> Column:
     return F.size(F.filter(literals, lambda b: b <= F.col("_key")))
 
 
-def beside_next(docs: DataFrame, payload: list[str]) -> DataFrame:
-    """Adds ``next_<name>`` for each payload column: the values of the next row by descending doc_id, with
-    those of the first row after the last one. Rows of one doc_id go by the hash of the text, then by the
-    text; null ids come last.
+def beside_next(docs: DataFrame, added: dict[str, Column], payload: list[str]) -> DataFrame:
+    """Adds the columns ``added``, and ``next_<name>`` for each payload column: the values of the next row by
+    descending doc_id, with those of the first row after the last one. Rows of one doc_id go by the hash of
+    the text, then by the text; null ids come last.
 
     Rows are cut into buckets of ids and put in order inside each. The first row of a bucket (one row per
     bucket) is also put behind the last one of the bucket before it, so that no bucket needs another.
@@ -178,7 +128,8 @@ def beside_next(docs: DataFrame, payload: list[str]) -> DataFrame:
         .select(*docs.columns, "_key", F.col("_before").alias("_bucket"), F.lit(1).alias("_copy"))
     )
     following = Window.partitionBy("_bucket").orderBy("_copy", *order)
-    beside = placed.unionByName(heads).withColumns({f"next_{c}": F.lead(c).over(following) for c in payload})
+    both = placed.unionByName(heads).withColumns(added)  # after the heads are known, so once per row
+    beside = both.withColumns({f"next_{c}": F.lead(c).over(following) for c in payload})
     return beside.where("_copy = 0").drop("_key", "_bucket", "_copy")
 
 
@@ -187,30 +138,26 @@ def edited_texts(docs: DataFrame) -> DataFrame:
     is replaced by as many first code points of the next document by descending doc_id, or all it has, and
     the likeness of its fingerprint to the edited text's and to the next document's.
 
-    ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``. Blocks
-    that the edit does not reach are taken from the document; only the rest is hashed again.
+    ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    pairs = beside_next(texts.withColumn("blocks", chosen_by_block(F.col("text"))), ["text", "blocks"])
+    pairs = beside_next(texts, {"chosen": chosen(F.col("text"))}, ["text", "chosen"])
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     edited = pairs.withColumns(
         {
             "n_chars": n.cast("long"),
             "edited": F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut)),
-            "same": F.greatest(F.floor((n - cut - (GRAM + WINDOW - 2)) / BLOCK), F.lit(0)).cast("int"),
+            "own": hash_set(F.col("chosen")),
         }
     )
-    rest = F.substring("edited", F.col("same") * BLOCK + 1, F.length("edited"))
-    again = chosen_by_block(rest, first=F.col("same") == 0)
-    both = edited.withColumn("edited_blocks", F.concat(F.slice("blocks", F.lit(1), F.col("same")), again))
-    own = hash_set(F.col("blocks"))
+    both = edited.withColumn("edited_chosen", chosen(F.col("edited")))
     return both.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        as_text(F.col("blocks")).alias("fingerprint"),
-        as_text(F.col("edited_blocks")).alias("edited_fingerprint"),
-        likeness(own, hash_set(F.col("edited_blocks"))).alias("near_edited"),
-        likeness(own, hash_set(F.col("next_blocks"))).alias("near_next"),
+        as_text(F.col("chosen")).alias("fingerprint"),
+        as_text(F.col("edited_chosen")).alias("edited_fingerprint"),
+        likeness(F.col("own"), hash_set(F.col("edited_chosen"))).alias("near_edited"),
+        likeness(F.col("own"), hash_set(F.col("next_chosen"))).alias("near_next"),
     )
