@@ -154,32 +154,24 @@ def with_faults(rows: DataFrame, most_sent: int = MOST_SENT) -> DataFrame:
     Only role and text pairs that come in several turns have to be looked up; their list is narrow, and it
     is sent to all tasks if it is short.
     """
-    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
-    merged = (
-        rows.where("copies > 0")
-        .groupBy("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-        .agg(F.sum("copies").cast("long").alias("copies"))
-        .withColumns(
-            {
-                "blank": ~F.col("text").rlike(r"[^\x20\x09-\x0D]"),
-                "cut": ~F.col("text").rlike(rf"[.!?]{BLANK}*\z"),
-                "digest": F.sha2("text", 256),
-                "place": F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn")),
-            }
-        )
-    )
+    text, role, turn = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" ")), F.col("turn").cast("long")
+    here = rows.where("copies > 0").select("conv_id", turn.alias("turn"), role.alias("role"), text.alias("text"), "copies")
+    words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    digest = F.sha2("text", 256).alias("digest")
     again = (
-        merged.where("not blank")
-        .groupBy("conv_id", "role", "digest")
-        .agg(F.min("place").alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
-        .drop("n")
+        here.where(words)
+        .groupBy("conv_id", "role", digest)
+        .agg(F.min("turn").alias("least"), F.max("turn").alias("most"), F.count("*").alias("n"), F.count("turn").alias("known"))
+        .where("least < most or (known > 0 and known < n)")  # null turns come first
+        .select("conv_id", "role", "digest", "least", (F.col("known") < F.col("n")).alias("begins_unknown"))
     )
     again = written(again, "repeated-rows")
     few = again.limit(most_sent + 1).count() <= most_sent
+    merged = here.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").cast("long").alias("copies"))
+    merged = merged.select("*", (~words).alias("blank"), (~F.col("text").rlike(rf"[.!?]{BLANK}*\z")).alias("cut"), digest)
     joined = merged.join(F.broadcast(again) if few else again, _same(merged, again, ["conv_id", "role", "digest"]), "left")
-    seen = F.coalesce(merged["place"] > again["first"], F.lit(False)).alias("seen")
-    return joined.select(*[merged[c] for c in ("conv_id", "turn", "role", "text", "copies", "blank", "cut")], seen)
+    later = merged["turn"].isNotNull() & (again["begins_unknown"] | (merged["turn"] > again["least"]))
+    return joined.select(*[merged[c] for c in ("conv_id", "turn", "role", "text", "copies", "blank", "cut")], F.coalesce(later, F.lit(False)).alias("seen"))
 
 
 # --- parsing on executors ------------------------------------------------------------------------
