@@ -53,6 +53,14 @@ def vocabulary_of(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
     return {bytes(alphabet[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in specials}, specials
 
 
+def ids_follow_merges(path: str) -> bool:
+    """Whether each merge gives a token of its own and ids rise with the merges, as tiktoken takes them to."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    ids = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    return all(a < b for a, b in zip(ids, ids[1:]))
+
+
 def transducer(vocabulary: str, byte_alphabet: dict[str, int], pattern: str = PATTERN) -> tuple[Callable, Callable, int]:
     """``encode(text)`` yields bytes of little-endian 32-bit ids; ``decoder()`` returns ``feed(ids, last)``
     from such bytes to text; and the merge list's sufficient lookahead in bytes.

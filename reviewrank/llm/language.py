@@ -6,7 +6,7 @@ is the winner's lead over the runner-up, and a narrow lead is rejected. Pieces k
 constant and stop a long text from teaching the compressor its own words; all pieces of a text count.
 
 Dictionaries come from a bounded sample: per language, the ``SAMPLE_DOCS`` labelled documents with the
-smallest hash of their id, ``DICTIONARY_BYTES`` in all, evenly over them.
+smallest hash of id and text (equal rows count once), ``DICTIONARY_BYTES`` in all, evenly over them.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score zero; rows without a language
 teach nothing; without any labelled row every text is ``und``; equal sums, as of very short texts, go to the
@@ -29,14 +29,18 @@ UNKNOWN = "und"
 def dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Raw-content dictionaries by language, the most frequent first, from ``doc_id, text, lang``.
 
-    Ids are ranked without their texts, partly before the shuffle; the driver gets the dictionaries only.
+    Different rows are ranked by a hash of id and text, without the text; the chosen hashes (``sample_docs`` per
+    language) are sent to all tasks, so texts are not shuffled. The driver gets the dictionaries only.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("language"), "doc_id"), "doc_id")
-    ranked = labelled.where("lang is not null and text is not null").select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
-    chosen = ranked.where(F.col("rank") <= sample_docs).select("doc_id", "rank", F.col("lang").alias("of"))
+    key = F.xxhash64(F.lit("language"), "doc_id", "text").alias("key")
+    usable = labelled.where("lang is not null and text is not null").select("lang", key, "text")
+    order = Window.partitionBy("lang").orderBy("key")
+    ranked = usable.select("lang", "key").distinct().withColumn("rank", F.row_number().over(order))
+    chosen = ranked.where(F.col("rank") <= sample_docs)
     frequent = {r["lang"]: r["count"] for r in labelled.where("lang is not null").groupBy("lang").count().collect()}
     part = F.encode(F.substring(F.lower("text"), 1, dictionary_bytes), "UTF-8")
-    rows = labelled.join(chosen, (labelled.doc_id == chosen.doc_id) & (labelled.lang == chosen.of)).select("of", "rank", part.alias("part")).collect()
+    found = usable.join(F.broadcast(chosen), ["lang", "key"]).select(F.col("lang").alias("of"), "rank", part.alias("part"))
+    rows = found.groupBy("of", "rank").agg(F.min("part").alias("part")).collect()  # equal rows once
     by_language: dict[str, list[tuple[int, bytes]]] = {}
     for r in rows:
         by_language.setdefault(r["of"], []).append((r["rank"], bytes(r["part"])))

@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType, StructField, StructType
 
-from reviewrank.llm.bpe import PATTERN, vocabulary_of
-from reviewrank.session import written
+from reviewrank.llm.bpe import PATTERN, byte_alphabet, ids_follow_merges, transducer, vocabulary_of
+from reviewrank.session import shipped, written
 
+#: White space characters in a row from which a text takes the transducer; the fast way's stack ends at some more.
+LONG_BLANK = 100_000
 #: Pieces of a hash bucket, and the most buckets, when pieces are ranked.
 BUCKET_ROWS, MOST_BUCKETS = 2_000, 4_096
 
@@ -41,27 +43,36 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, separat
 
     ``vocabulary`` is the path of a byte-level BPE file of the tokenizers library whose ids follow its
     merges. Such a file gives the same ids through tiktoken, several times as fast, from its vocabulary and
-    the byte-level pattern; the text of a special token becomes its id in both. Ids are packed little-endian
-    32-bit.
+    the byte-level pattern; the text of a special token becomes its id in both. A text with a very long run
+    of white space goes through the transducer of ``bpe`` instead. Ids are packed little-endian 32-bit.
     """
+    if not ids_follow_merges(vocabulary):
+        raise ValueError(f"the ids of {vocabulary} do not follow its merges")
     ranks, specials = vocabulary_of(vocabulary)
-    pattern = PATTERN
+    pattern, long_blank, build, alphabet = PATTERN, LONG_BLANK, shipped(transducer), byte_alphabet()
 
     def run(batches: Iterator) -> Iterator:
+        import re
         import struct
 
         import pyarrow as pa
         import tiktoken
 
+        steady = []
         encoding = tiktoken.Encoding("documents", pat_str=pattern, mergeable_ranks=ranks, special_tokens=specials)
         closing = struct.pack("<I", separator)
 
         def ids_of(text: str) -> bytes:
+            if len(text) >= long_blank and any(m.end() - m.start() >= long_blank for m in re.finditer(r"\s+", text)):
+                if not steady:
+                    steady.append(build(vocabulary, alphabet)[0])
+                return b"".join(steady[0](text))
             return encoding.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
         step = 4 * capacity
         for batch in batches:
             rows: list[tuple] = []
+            types = [batch.schema.field("doc_id").type, *others]
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = ids_of(text or "") + closing
                 end = len(ids) % step or step
@@ -76,9 +87,9 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, separat
     import pyarrow as pa
 
     names = ["doc_id", "piece", "start", "length", "ids"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-    narrow = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return narrow.mapInArrow(run, "doc_id bigint, piece int, start bigint, length bigint, ids binary")
+    others = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary")
 
 
 #: Pieces of a filling that is enumerated and tested for dominance; the greedy filling has no such limit.

@@ -21,6 +21,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewrank.llm.arrays import drawn
+
 #: Documents of the training sample at most (about, by hash of doc_id), and passages of each while training.
 SAMPLE_DOCS, SAMPLE_PASSAGES = 4_000, 64
 PASSAGE_WORDS, HIDDEN, ATTENTION, EPOCHS, RATE = 60, 16, 8, 150, 0.01
@@ -123,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     rows = marked.count()
     if not rows:
         return {"constant": np.array([0.5])}
-    share = F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample_docs / rows))
+    share = drawn(sample_docs, rows, F.lit("quality"), "doc_id")
     sample = docs.select("doc_id", "text").join(marked.where(share), "doc_id")
     encode, fit = _encoder(PASSAGE_WORDS), _trainer(HIDDEN, ATTENTION, EPOCHS, RATE)
     most, features = SAMPLE_PASSAGES, FEATURES

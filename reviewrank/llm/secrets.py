@@ -22,7 +22,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewrank.llm.arrays import let
+from reviewrank.llm.arrays import drawn, let
 
 #: Fixed patterns, in the order in which kinds are listed.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -106,8 +106,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Models:
     """Both models from a bounded sample of documents, chosen by hash; what the driver gets are the counts
     of character pairs."""
     rows = docs.agg(F.count("*")).first()[0]
-    share = min(1.0, sample_docs / max(rows, 1))
-    picked = F.pmod(F.xxhash64(F.lit("secrets"), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
+    picked = drawn(sample_docs, rows, F.lit("secrets"), "doc_id")
     text = F.coalesce("text", F.lit(""))
     found = docs.where(picked).select(text.alias("text")).select("text", base_spans(F.col("text")).alias("base"))
     cut = lambda s: F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"])
