@@ -82,18 +82,19 @@ def yyyymmdd_or_null(name: str) -> Column:
     return F.when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
 
 
-def parse_yyyymmdd(name: str) -> Column:
-    """Timestamp from eight digits (a trailing ``.0`` is dropped). A cell that is neither missing
-    nor a date stops the job from inside the plan, so checking costs no pass of its own."""
-    text, parsed = yyyymmdd_text(name), yyyymmdd_or_null(name)
-    bad = text.isNotNull() & parsed.isNull()
-    message = F.concat(F.lit(f"no YYYYMMDD date in {name}: "), text)
-    return F.when(bad, F.raise_error(message).cast("timestamp")).otherwise(parsed)
+def date_problem(name: str) -> Column:
+    """What is wrong with a cell that is neither missing nor eight digits of a date; null where nothing is."""
+    text = yyyymmdd_text(name)
+    bad = text.isNotNull() & yyyymmdd_or_null(name).isNull()
+    return F.when(bad, F.concat(F.lit(f"no YYYYMMDD date in {name}: "), text))
+
 
+def sound(problems: list[Column]) -> Column:
+    """A condition that holds for every row without a problem; one with a problem stops the job with it.
 
-def required(c: Column, message: str) -> Column:
-    """The value, or a failed job where it is null."""
-    return F.when(c.isNotNull(), c).otherwise(F.raise_error(F.lit(message)).cast("string"))
+    As a filter it runs whatever columns are read later, so checking costs no pass of its own."""
+    found = F.coalesce(*problems)
+    return F.when(found.isNull(), F.lit(True)).otherwise(F.raise_error(found).cast("boolean"))
 
 
 def wall_clock_seconds(c: Column) -> Column:
@@ -103,6 +104,12 @@ def wall_clock_seconds(c: Column) -> Column:
     return days * 86_400 + F.hour(c) * 3_600 + F.minute(c) * 60 + F.second(c)
 
 
+def hash52(*parts: Column | str | int) -> Column:
+    """52 bits of the MD5 of the parts' text, joined by colons: the same number in any engine that has MD5."""
+    text = F.concat_ws(":", *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+
+
 def is_weekend(c: Column) -> Column:
     return F.dayofweek(c).isin(1, 7)
 
@@ -110,30 +117,21 @@ def is_weekend(c: Column) -> Column:
 # --- review flags and reason codes -------------------------------------------------------------
 
 
-def all_hold(checked: list[Column]) -> Column:
-    """True once every checked value has been computed. As a filter it runs whatever columns are read later."""
-    return reduce(lambda a, b: a & b, [c.isNull() | c.isNotNull() for c in checked])
-
-
 def parse_flag(df: DataFrame, name: str) -> Column:
-    """Boolean from a boolean, a number or its text (its integer part is not 0) or true/yes, false/no."""
+    """Boolean from a boolean, a number or its text (its integer part is not 0) or true/yes, false/no; null
+    for anything else."""
     dtype = df.schema[name].dataType.simpleString()
     c = F.col(name)
     if dtype == "boolean":
-        bad = F.raise_error(F.lit("not a review flag: null")).cast("boolean")
-        return F.coalesce(c, bad)
+        return c
     if dtype != "string":
-        value = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
-        bad = F.raise_error(F.lit("not a review flag: null")).cast("boolean")
-        return F.when(value.isNotNull(), F.abs(value) >= 1.0).otherwise(bad)
+        return F.abs(F.nanvl(c.cast("double"), F.lit(None).cast("double"))) >= 1.0
     text = F.lower(strip(c))
-    message = F.concat(F.lit("not a review flag: "), F.coalesce(c, F.lit("null")))
     value = F.when(text.rlike(r"^[+-]?\d+(\.\d*)?$"), text.cast("double"))
     return (
         F.when(value.isNotNull(), F.abs(value) >= 1.0)
         .when(text.isin("true", "yes"), F.lit(True))
         .when(text.isin("false", "no"), F.lit(False))
-        .otherwise(F.raise_error(message).cast("boolean"))
     )
 
 

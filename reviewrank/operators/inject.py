@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewrank.functions.expr import np_round
+from reviewrank.functions.expr import hash52, np_round
 
 # Scenario names in order, and the fields a copied claim takes from its donor.
 SCENARIOS = ["high_paid", "excess_units", "duplicate_like", "utilization_spike"]
@@ -23,13 +23,13 @@ COPIED_FIELDS = [
 SLICES = 20  # hashes are first counted by their 20 highest bits
 
 
-def _hash63(key: Column, purpose: str, seed: int) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(key, F.lit(purpose), F.lit(seed)), 1)
+def _hash(key: Column, purpose: str, seed: int) -> Column:
+    return hash52(seed, purpose, key)
 
 
 def uniform(key: Column, purpose: str, seed: int) -> Column:
     """A number in [0, 1) that depends on the key, the purpose and the seed only."""
-    return F.shiftright(_hash63(key, purpose, seed), 10).cast("double") * F.lit(2.0**-53)
+    return _hash(key, purpose, seed).cast("double") * F.lit(2.0**-52)
 
 
 def pick_exactly(claims: DataFrame, wanted: int, seed: int) -> Column:
@@ -38,8 +38,8 @@ def pick_exactly(claims: DataFrame, wanted: int, seed: int) -> Column:
     Found by counting: hashes per slice (at most 2^20 rows), then the place inside the one slice
     in which the count is reached. No global sort, and no large limit.
     """
-    place = _hash63(F.col("claim_id"), "pick", seed)
-    slice_of = F.shiftright(place, 63 - SLICES)
+    place = _hash(F.col("claim_id"), "pick", seed)
+    slice_of = F.shiftright(place, 52 - SLICES)
     running = F.sum("count").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, 0))
     reached = (
         claims.groupBy(slice_of.alias("slice"))
@@ -122,7 +122,7 @@ def inject_at_rate(claims: DataFrame, rate: float, seed: int) -> DataFrame:
     are copies, the first of each group is its donor, and every copy draws one group.
     """
     if not 0 < rate < 0.25:
-        raise ValueError("anomaly_rate must be between 0 and 0.25")
+        raise ValueError("the share of anomalies must lie between 0 and 0.25")
     wanted = max(1, round(claims.count() * rate))
     groups = max(1, wanted // 4)
     key = F.col("claim_id")
@@ -138,8 +138,8 @@ def inject_at_rate(claims: DataFrame, rate: float, seed: int) -> DataFrame:
         claims,
         picked=pick_exactly(claims, wanted, seed),
         scenario=F.element_at(names, (F.floor(draw("scenario") * len(SCENARIOS)) + 1).cast("int")),
-        donors=donor_table(claims, F.pmod(_hash63(key, "donor group", seed), F.lit(groups)), _hash63(key, "donor", seed)),
-        donor_key=F.pmod(_hash63(key, "donor of", seed), F.lit(groups)),
+        donors=donor_table(claims, F.pmod(_hash(key, "donor group", seed), F.lit(groups)), _hash(key, "donor", seed)),
+        donor_key=F.pmod(_hash(key, "donor of", seed), F.lit(groups)),
         paid_factor=between("paid", 8, 18),
         spike_factor=between("spike", 3, 6),
         new_units=F.floor(between("units", 30, 100)),

@@ -6,27 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewrank.functions.expr import (
-    all_hold,
     np_round,
     number,
     parse_flag,
     parse_reason_codes,
     reason_badges,
     reason_display,
+    sound,
 )
 from reviewrank.schema import QUEUE_COLUMNS, QUEUE_SCORE_COLUMNS, require_columns
 
 
-def _number_or_fail(df: DataFrame, name: str) -> Column:
-    bad = F.concat(F.lit(f"{name} is not a number: "), F.col(name).cast("string"))
-    value = number(df, name)
-    return F.when(value.isNull() & F.col(name).isNotNull(), F.raise_error(bad).cast("double")).otherwise(value)
+def _problems(scored: DataFrame) -> list[Column]:
+    """Per checked column: what is wrong with its value, or null."""
 
+    def shown(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit("null"))
 
-def _unit_or_fail(df: DataFrame, name: str) -> Column:
-    value = _number_or_fail(df, name)
-    bad = F.raise_error(F.lit(f"{name} lies outside [0, 1]")).cast("double")
-    return F.when(value.between(0.0, 1.0), value).otherwise(bad)
+    paid = F.col("paid_amount").isNotNull() & number(scored, "paid_amount").isNull()
+    out = [F.when(paid, F.concat(F.lit("paid_amount is not a number: "), shown("paid_amount")))]
+    for name in QUEUE_SCORE_COLUMNS:
+        inside = F.coalesce(number(scored, name).between(0.0, 1.0), F.lit(False))
+        out.append(F.when(~inside, F.concat(F.lit(f"{name} lies outside [0, 1]: "), shown(name))))
+    no_flag = parse_flag(scored, "is_flagged").isNull()
+    return [*out, F.when(no_flag, F.concat(F.lit("not a review flag: "), shown("is_flagged")))]
 
 
 def prepare_queue(scored: DataFrame) -> DataFrame:
@@ -37,8 +40,7 @@ def prepare_queue(scored: DataFrame) -> DataFrame:
     changed = {
         "claim_id": F.col("claim_id").cast("string"),
         "claim_type": F.col("claim_type").cast("string"),
-        "paid_amount": _number_or_fail(scored, "paid_amount"),
-        **{c: _unit_or_fail(scored, c) for c in QUEUE_SCORE_COLUMNS},
+        **{c: number(scored, c) for c in ["paid_amount", *QUEUE_SCORE_COLUMNS]},
         "is_flagged": parse_flag(scored, "is_flagged"),
         "rule_reason_codes": parse_reason_codes(scored, "rule_reason_codes"),
     }
@@ -47,8 +49,7 @@ def prepare_queue(scored: DataFrame) -> DataFrame:
     if "is_injected_anomaly" in scored.columns:
         label = F.coalesce(number(scored, "is_injected_anomaly"), F.lit(0.0))
         changed["is_injected_anomaly"] = label.cast("int")
-    checked = ["paid_amount", *QUEUE_SCORE_COLUMNS, "is_flagged"]
-    prepared = scored.withColumns(changed).where(all_hold([F.col(c) for c in checked]))
+    prepared = scored.where(sound(_problems(scored))).withColumns(changed)
     return prepared.withColumn("reason_codes_display", reason_display(F.col("rule_reason_codes")))
 
 

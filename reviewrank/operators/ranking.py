@@ -9,6 +9,7 @@ percentiles, quantiles, ROC-AUC and average precision all read the resulting tab
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -32,12 +33,13 @@ def split_points(df: DataFrame, columns: list[str], buckets: int | None = None)
     return {c: sorted({v for v in values if math.isfinite(v)}) for c, values in zip(columns, found)}
 
 
-def bucketed(df: DataFrame, column: str, splits: list[float], out: str = "_bucket") -> DataFrame:
-    """Bucket number by binary search in ``splits``, the same on every retry."""
-    if not splits:
-        return df.withColumn(out, F.lit(0.0))
-    edges = [-math.inf, *splits, math.inf]
-    return Bucketizer(splits=edges, inputCol=column, outputCol=out).transform(df)
+def bucketed(
+    df: DataFrame, column: str, splits: list[float], out: str = "_bucket", invalid: str = "error"
+) -> DataFrame:
+    """Bucket number by binary search in ``splits``, the same on every retry; with ``invalid="keep"``
+    nulls get a bucket of their own."""
+    edges = [-math.inf, *splits, math.inf] if splits else [-math.inf, 0.0, math.inf]
+    return Bucketizer(splits=edges, inputCol=column, outputCol=out, handleInvalid=invalid).transform(df)
 
 
 def rank_table(
@@ -131,69 +133,95 @@ def quantile_of(table: DataFrame, share: float, out: str = "quantile") -> DataFr
 def column_quantiles(df: DataFrame, columns: list[str], share: float) -> dict[str, float]:
     """The exact quantile of several columns at once (nulls left out), as numbers on the driver.
 
-    Selection by narrowing: approximate quantiles put a bracket around the wanted place, one pass
-    counts what lies below and inside it, and brackets that still hold many rows are narrowed
-    again. Only the values inside the last brackets are counted one by one; nothing else is
-    shuffled, and nothing is sorted as a whole.
+    Selection by narrowing. A Greenwald-Khanna sketch, whose error in rank is bounded, puts a bracket
+    around the wanted place; one pass counts exactly how many values lie below, at and inside its ends;
+    the place then lies in one of five stretches, which becomes the next bracket. So each bracket is
+    proven by counts, whatever the sketch said, and only the values of a bracket that holds few of them are
+    counted one by one. Nothing is sorted as a whole.
     """
     typed = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-    brackets = {c: (-math.inf, math.inf) for c in columns}
-
-    def inside(c: str) -> Column:
-        low, high = brackets[c]
-        return F.when((F.col(c) >= F.lit(low)) & (F.col(c) <= F.lit(high)), F.col(c))
-
-    def counts() -> dict[str, tuple[int, int, int]]:
-        row = typed.agg(
-            *[F.count(c).alias(f"total_{c}") for c in columns],
-            *[F.count_if(F.col(c) < F.lit(brackets[c][0])).alias(f"below_{c}") for c in columns],
-            *[F.count(inside(c)).alias(f"inside_{c}") for c in columns],
+    sizes = typed.agg(*[F.count(c).alias(c) for c in columns]).first()
+    spans = {c: Span(-math.inf, math.inf, 0, sizes[c], (sizes[c] - 1) * share) for c in columns if sizes[c]}
+    while wide := [c for c, s in spans.items() if s.low < s.high and s.inside > NARROW_ENOUGH]:
+        tried = _sketched(typed, {c: spans[c] for c in wide})
+        counted = typed.agg(
+            *[
+                F.count_if(test).alias(f"{c}{i}")
+                for c, (a, b) in tried.items()
+                for i, test in enumerate((F.col(c) < a, F.col(c) <= a, F.col(c) < b, F.col(c) <= b))
+            ]
         ).first()
-        return {c: (row[f"total_{c}"], row[f"below_{c}"], row[f"inside_{c}"]) for c in columns}
-
-    found = counts()
-    wide = [c for c in columns if found[c][2] > NARROW_ENOUGH]
-    while wide:
-        near = typed.select(*[inside(c).alias(c) for c in wide])
-        ends = {}
-        for c in wide:
-            total, below, size = found[c]
-            place = ((total - 1) * share - below) / size
-            ends[c] = [max(place - NARROWING, 0.0), min(place + NARROWING, 1.0)]
-        points = sorted({e for pair in ends.values() for e in pair})
-        values = dict(zip(wide, near.approxQuantile(wide, points, NARROWING / 2)))
-        tried = {c: tuple(values[c][points.index(e)] for e in ends[c]) for c in wide}
-        before, brackets = brackets, {**brackets, **tried}
-        checked = counts()
-        for c in wide:
-            total, below, size = checked[c]
-            place = (total - 1) * share
-            if not (below <= math.floor(place) and math.ceil(place) < below + size):
-                brackets[c] = before[c]  # the approximation missed the place; keep the wider one
-        kept = [c for c in wide if brackets[c] == before[c]]
-        found = counts() if kept else checked
-        wide = [c for c in wide if c not in kept and found[c][2] > NARROW_ENOUGH and brackets[c][0] < brackets[c][1]]
-
-    cells = [F.struct(F.lit(i).alias("i"), inside(c).alias("score")) for i, c in enumerate(columns)]
-    counted = (
-        typed.select(F.inline(F.array(*cells)))
-        .filter(F.col("score").isNotNull())
-        .groupBy("i", "score")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    below = F.element_at(F.array(*[F.lit(found[c][1]) for c in columns]), F.col("i") + 1)
-    place = F.element_at(F.array(*[F.lit((found[c][0] - 1) * float(share)) for c in columns]), F.col("i") + 1)
+        for c, (a, b) in tried.items():
+            spans[c] = spans[c].narrowed(a, b, [counted[f"{c}{i}"] for i in range(4)])
+    return _interpolated(typed, spans)
+
+
+@dataclass(frozen=True)
+class Span:
+    """A closed stretch of values that holds the ``floor(place)``-th smallest one (from 0), with the exact
+    number of values below and inside it."""
+
+    low: float
+    high: float
+    below: int
+    inside: int
+    place: float
+
+    def narrowed(self, a: float, b: float, counts: list[int]) -> Span:
+        """The one of the stretches before a, at a, between, at b and after b that holds the place;
+        ``counts`` are the values below a, up to a, below b and up to b."""
+        under_a, upto_a, under_b, upto_b = counts
+        after = self.below + self.inside
+        cuts = [
+            (self.low, math.nextafter(a, -math.inf), self.below, under_a),
+            (a, a, under_a, upto_a),
+            (math.nextafter(a, math.inf), math.nextafter(b, -math.inf), upto_a, under_b),
+            (b, b, max(under_b, upto_a), upto_b),
+            (math.nextafter(b, math.inf), self.high, upto_b, after),
+        ]
+        wanted = math.floor(self.place)
+        low, high, first, end = next(cut for cut in cuts if cut[2] <= wanted < cut[3])
+        return Span(low, high, first, end - first, self.place)
+
+
+def _sketched(typed: DataFrame, spans: dict[str, Span]) -> dict[str, tuple[float, float]]:
+    """A value on either side of each place, as far apart as the sketch may be wrong."""
+    accuracy, asked = round(2 / NARROWING), {}
+    for c, s in spans.items():
+        value = F.when((F.col(c) >= F.lit(s.low)) & (F.col(c) <= F.lit(s.high)), F.col(c))
+        at = (math.floor(s.place) - s.below) / s.inside
+        ends = [max(at - NARROWING, 0.0), min(at + NARROWING, 1.0)]
+        asked[c] = F.percentile_approx(value, ends, accuracy).alias(c)
+    found = typed.agg(*asked.values()).first()
+    return {c: tuple(found[c]) for c in spans}
+
+
+def _interpolated(typed: DataFrame, spans: dict[str, Span]) -> dict[str, float]:
+    """The quantiles from spans of few different values: the value at the place, and the next one."""
+    if not spans:
+        return {}
+    names = list(spans)
+    cells = [
+        F.struct(F.lit(i).alias("i"), F.when((F.col(c) >= F.lit(spans[c].low)) & (F.col(c) <= F.lit(spans[c].high)), F.col(c)).alias("score"))
+        for i, c in enumerate(names)
+    ]
+    counted = typed.select(F.inline(F.array(*cells))).filter(F.col("score").isNotNull()).groupBy("i", "score").agg(F.count(F.lit(1)).alias("n"))
+    below = F.element_at(F.array(*[F.lit(spans[c].below) for c in names]), F.col("i") + 1)
+    first = F.element_at(F.array(*[F.lit(math.floor(spans[c].place)) for c in names]), F.col("i") + 1)
+    # NARROW_ENOUGH different values of a column at most, whatever the data.
     upto = below + F.sum("n").over(Window.partitionBy("i").orderBy("score"))
-    table = counted.select("i", "score", "n", upto.alias("upto"), place.alias("place"))
-    first = F.col("upto") - F.col("n")
-    near = table.filter(
-        ((first <= F.floor("place")) & (F.floor("place") < F.col("upto")))
-        | ((first <= F.ceil("place")) & (F.ceil("place") < F.col("upto")))
-    )
-    ends = near.groupBy("i").agg(
-        F.min("score").alias("a"), F.max("score").alias("b"), F.max(F.col("place") - F.floor("place")).alias("t")
-    )
-    return {columns[r["i"]]: r["a"] + (r["b"] - r["a"]) * r["t"] for r in ends.collect()}
+    placed = counted.select("i", "score", upto.alias("upto"), first.alias("first")).filter("upto > first")
+    values = {r["i"]: r["s"] for r in placed.groupBy("i").agg(F.min(F.struct("score", "upto")).alias("s")).collect()}
+    out, later = {}, {}
+    for i, c in enumerate(names):
+        step = spans[c].place - math.floor(spans[c].place)
+        out[c] = values[i]["score"] + 0.0
+        if step and values[i]["upto"] <= math.floor(spans[c].place) + 1:
+            later[c] = step  # the next value differs
+    if later:
+        following = typed.agg(*[F.min(F.when(F.col(c) > F.lit(out[c]), F.col(c))).alias(c) for c in later]).first()
+        out |= {c: out[c] + (following[c] - out[c]) * step for c, step in later.items()}
+    return out
 
 
 def with_quantile_flag(
@@ -205,48 +233,48 @@ def with_quantile_flag(
     return df.withColumn(out, (F.col(score) >= threshold).cast("int"))
 
 
-def ecdf_of(reference: DataFrame) -> DataFrame:
-    """``score, share``: share of the reference rows with a score not above this one."""
-    return reference.select("score", (F.col("upto") / F.col("total")).alias("share"))
-
-
-def with_ecdf_percentile(
-    df: DataFrame, score: str, reference: DataFrame, out: str, splits: list[float] | None = None
-) -> DataFrame:
-    """Adds ``out``, the share of the reference rows (a rank table) with a score not above this one.
+def ecdf_cells(reference: DataFrame, splits: list[float]) -> DataFrame:
+    """A cumulative distribution made ready for look-ups: per bucket of ``splits`` the sorted scores of a
+    rank table, the share of rows up to each, and the share below the bucket.
 
-    An as-of lookup of any size: the distinct scores of ``df`` are stacked with the reference
-    scores, bucketed alike, and the last reference share is carried forward inside each bucket,
-    starting from the highest share of the buckets below. The result joins back on the score.
+    Every bucket has a row, also one without scores, so an equi-join on the bucket finds each answer.
     """
-    steps = ecdf_of(reference).select("score", "share", F.lit(0).alias("_asked"))
-    value = F.col(score).cast("double") + F.lit(0.0)
-    asked = (
-        df.select(value.alias("score"))
-        .filter(F.col("score").isNotNull())
-        .distinct()
-        .select("score", F.lit(None).cast("double").alias("share"), F.lit(1).alias("_asked"))
+    steps = bucketed(reference.select("score", (F.col("upto") / F.col("total")).alias("share")), "score", splits)
+    filled = steps.groupBy("_bucket").agg(
+        F.sort_array(F.collect_list(F.struct("score", "share"))).alias("_steps"), F.max("share").alias("_top")
     )
-    if splits is None:
-        splits = split_points(reference.select("score"), ["score"])["score"]
-    stacked = bucketed(steps.unionByName(asked), "score", splits)
-    inside = (
-        Window.partitionBy("_bucket")
-        .orderBy("score", "_asked")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    buckets = reference.sparkSession.range(max(len(splits), 1) + 1).select(F.col("id").cast("double").alias("_bucket"))
+    lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # MAX_BUCKETS + 1 rows at most
+    none = F.array().cast("array<double>")
+    return buckets.join(filled, "_bucket", "left").select(
+        "_bucket",
+        F.coalesce(F.max("_top").over(lower), F.lit(0.0)).alias("_below"),
+        F.coalesce(F.col("_steps")["score"], none).alias("_scores"),
+        F.coalesce(F.col("_steps")["share"], none).alias("_shares"),
     )
-    lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # At most MAX_BUCKETS + 1 rows, whatever the data.
-    base = (
-        stacked.groupBy("_bucket")
-        .agg(F.max("share").alias("_top"))
-        .select("_bucket", F.coalesce(F.max("_top").over(lower), F.lit(0.0)).alias("_base"))
-    )
-    answers = (
-        stacked.withColumn("_last", F.max("share").over(inside))
-        .filter("_asked = 1")
-        .join(F.broadcast(base), "_bucket")
-        .select(F.col("score").alias("_score"), F.coalesce("_last", "_base").alias(out))
-    )
-    return df.join(answers, value == F.col("_score"), "left").drop("_score")
 
+
+def with_ecdf_percentile(df: DataFrame, score: str, cells: DataFrame, splits: list[float], out: str) -> DataFrame:
+    """Adds ``out``, the share of the reference rows with a score not above this one; null for no score.
+
+    ``cells`` is the reference as ``ecdf_cells`` lays it out over the same ``splits``. One equi-join on the
+    bucket, then a binary search inside the row: no state and no sorting, so ``df`` may be a stream.
+    """
+    value = F.col("_value")
+    placed = df.withColumn("_value", F.col(score).cast("double") + F.lit(0.0))
+    joined = bucketed(placed, "_value", splits, invalid="keep").join(cells, "_bucket", "left")
+    n = F.size("_scores")
+
+    def halve(span: Column, _: Column) -> Column:
+        low, high = span["low"], span["high"]
+        middle = F.shiftright(low + high, 1)
+        reached = F.get(F.col("_scores"), middle) <= value
+        moved = F.struct(
+            F.when(reached, middle + 1).otherwise(low).alias("low"), F.when(reached, high).otherwise(middle).alias("high")
+        )
+        return F.when(low < high, moved).otherwise(span)
+
+    steps = F.sequence(F.lit(1), F.greatest(F.ceil(F.log2(n + 1)).cast("int"), F.lit(1)))
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("low"), n.alias("high")), halve, lambda span: span["low"])
+    share = F.coalesce(F.get(F.col("_shares"), found - 1), F.col("_below"))
+    return joined.withColumn(out, F.when(value.isNotNull(), share)).drop("_value", "_bucket", "_below", "_scores", "_shares")

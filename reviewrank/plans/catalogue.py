@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewrank.functions.expr import np_round
-from reviewrank.operators import ensemble, evaluate, features, forest, queue, ranking, rules, validate
+from reviewrank.operators import ensemble, evaluate, features, forest, inject, queue, ranking, rules, validate
 from reviewrank.plans import views
-from reviewrank.plans.jobs import rank_claims
-from reviewrank.schema import ENRICHED, NUMERIC_FEATURES
+from reviewrank.plans.jobs import rank_claims, run_on_claims
+from reviewrank.schema import CLAIM_TYPES, ENRICHED, NUMERIC_FEATURES, QUEUE_COLUMNS
 from reviewrank.session import scratch_path, written
 from reviewrank.sources import cms, tables
 from reviewrank.streaming.scoring import read_enriched_stream, read_scores, start_scoring
@@ -112,6 +112,15 @@ def inject_anomalies(spark, sf_dir):
     ).withColumn("service_date", views.day_text())
 
 
+@query
+def inject_at_rate(spark, sf_dir):
+    """An exact share of anomalies with random scenarios, strengths and donors."""
+    table = inject.inject_at_rate(views.claims(spark, sf_dir), rate=0.04, seed=7)
+    return table.select(
+        *views.CLAIM_COLUMNS, "is_injected_anomaly", "anomaly_scenario"
+    ).withColumn("service_date", views.day_text())
+
+
 @query
 def csv_claims(spark, sf_dir):
     """Claims written as CSV and read back by name and type."""
@@ -217,8 +226,10 @@ def avg_rank_pct(spark, sf_dir):
 def ecdf_percentile(spark, sf_dir):
     """Carrier claims are the reference; all claims are looked up in it."""
     table = views.amount_only(spark, sf_dir)
-    reference = ranking.rank_table(table.filter("claim_type = 'carrier'"), "model_anomaly_score")
-    placed = ranking.with_ecdf_percentile(table, "model_anomaly_score", reference, "share")
+    carrier = table.filter("claim_type = 'carrier'")
+    splits = ranking.split_points(carrier, ["model_anomaly_score"])["model_anomaly_score"]
+    cells = ranking.ecdf_cells(ranking.rank_table(carrier, "model_anomaly_score", splits=splits), splits)
+    placed = ranking.with_ecdf_percentile(table, "model_anomaly_score", cells, splits, "share")
     return placed.select("claim_id", np_round(F.col("share"), 6).alias("model_score_percentile"))
 
 
@@ -241,12 +252,12 @@ def feature_statistics(spark, sf_dir):
 
 @query
 def model_matrix(spark, sf_dir):
-    """The model inputs: imputed and scaled numbers, then one 0/1 column per claim type."""
+    """The model inputs: imputed and scaled numbers, and the claim type as the 0/1 columns it stands for."""
     table = views.featured(spark, sf_dir)
     info = forest.fit_preparation(table)
-    names = [n["name"] for n in info["numeric"]] + [f"is_{c}" for c in info["categories"]]
-    columns = [np_round(c, 4).alias(n) for n, c in zip(names, forest.prepared_columns(info))]
-    return table.select("claim_id", *columns)
+    numbers = [np_round(c, 4).alias(n["name"]) for n, c in zip(info["numeric"], forest.prepared_columns(info))]
+    kind = forest.category_column(info)
+    return table.select("claim_id", *numbers, *[(kind == c).cast("double").alias(f"is_{c}") for c in CLAIM_TYPES])
 
 
 @query
@@ -378,6 +389,24 @@ def queue_filter(spark, sf_dir):
     return ensemble.by_ensemble(kept).select("claim_id", "claim_type", "ensemble_score", joined("rule_reason_codes"))
 
 
+@query
+def export_queue_order(spark, sf_dir):
+    """The filtered queue exported as CSV: each claim with its place in the files."""
+    path = scratch_path(spark, "export")
+    kept = queue.filter_queue(_queue(spark, sf_dir), minimum_score=0.3, flagged_only=False)
+    tables.export_queue(kept.select(*QUEUE_COLUMNS), path)
+    again = tables.read_in_order(spark, path)
+    return again.select("place", "claim_id", "ensemble_score", "is_flagged", "rule_reason_codes")
+
+
+@query
+def metrics_document(spark, sf_dir):
+    """The metrics of a ranking written as one JSON document and read back."""
+    path, ranked = scratch_path(spark, "metrics"), _ranked_once(spark, sf_dir)
+    tables.write_metrics(evaluate.evaluate_flagged(ranked, 200), evaluate.compare_strategies(ranked, 200), path)
+    return tables.read_metrics(spark, path)
+
+
 @query
 def queue_kpis(spark, sf_dir):
     return queue.summarize_queue(_queue(spark, sf_dir))
@@ -469,29 +498,58 @@ def _trained(spark: SparkSession, sf_dir: str):
     return forest.train_model(views.featured(spark, sf_dir))
 
 
+@query
+def forest_nodes(spark, sf_dir):
+    """All nodes of a trained forest. Thresholds are in units of the scaled features."""
+    table = views.featured(spark, sf_dir)
+    info, nodes = forest.grow_forest(table, forest.fit_preparation(table), forest.TREES, forest.SAMPLE, seed=42)
+    return nodes.select(
+        "tree_id", "node_id", "feature", np_round(F.col("threshold"), 4).alias("threshold"), "category", "size", "depth"
+    )
+
+
 @query
 def iforest_scores(spark, sf_dir):
     model, raw = _trained(spark, sf_dir)
     return forest.with_model_columns(raw, model).select(
-        "claim_id", "model_anomaly_score", "model_is_flagged", "model_score_percentile"
+        "claim_id", r6("model_anomaly_score"), "model_is_flagged", "model_score_percentile"
     )
 
 
 @query
 def strategy_metrics_of_run(spark, sf_dir):
+    """Claims taken through the whole run, and the three strategies' metrics."""
     claims = views.injected(spark, sf_dir)
     ranked = rank_claims(claims.select(*views.CLAIM_COLUMNS, "is_injected_anomaly", "anomaly_scenario"))
     return ranked.comparison
 
 
+@query
+def run_facts(spark, sf_dir):
+    """A whole run from stored claims to a saved model, and what it left; the model is saved once more over
+    the tables that it was loaded from, and scores as before."""
+    folder, claims = scratch_path(spark, "run"), views.injected(spark, sf_dir)
+    run_on_claims(claims.select(*views.CLAIM_COLUMNS, "is_injected_anomaly", "anomaly_scenario"), folder)
+    model = forest.load_model(spark, f"{folder}/model")
+    forest.save_model(model, f"{folder}/model")
+    table = views.featured(spark, sf_dir)
+    both = [forest.with_raw_score(table, m) for m in (model, forest.load_model(spark, f"{folder}/model"))]
+    same = both[0].join(both[1].select("claim_id", F.col("model_anomaly_score").alias("again")), "claim_id")
+    changed = same.agg(F.count_if(~F.col("again").eqNullSafe(F.col("model_anomaly_score"))).cast("string").alias("value"))
+    saved = changed.select(F.lit("saved again").alias("stage"), F.lit("changed_scores").alias("fact"), "value")
+    return spark.read.parquet(f"{folder}/facts").unionByName(saved)
+
+
 @query
 def stream_scoring(spark, sf_dir):
-    """Enriched claims as files, scored by a stream that stops when it has read them all."""
+    """Enriched claims as files, scored by a stream that stops when it has read them all; the model goes
+    through its saved form."""
     model, raw = _trained(spark, sf_dir)
     ruled = rules.score_rules(forest.with_model_columns(raw, model))
     cutoff = ensemble.ensemble_threshold(ensemble.blend(ruled)).first()["quantile"]
     folder = scratch_path(spark, "stream")
+    forest.save_model(model.with_threshold(cutoff), f"{folder}/model")
     enriched(raw).write.parquet(f"{folder}/in")
-    stream = read_enriched_stream(spark, f"{folder}/in")
-    start_scoring(stream, model.with_threshold(cutoff), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    return read_scores(spark, f"{folder}/out")
+    stream = read_enriched_stream(spark, f"{folder}/in", files_per_batch=2)
+    start_scoring(stream, forest.load_model(spark, f"{folder}/model"), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return read_scores(spark, f"{folder}/out").withColumn("reason_codes", joined("reason_codes"))

@@ -66,6 +66,53 @@ injected AS (
 )"""
 )
 
+def chance(*parts: str) -> str:
+    """52 bits of the MD5 of the parts' text."""
+    text = " || ':' || ".join(f"({p})" for p in parts)
+    return f"CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT)"
+
+
+def drawn(purpose: str, seed: int = 7) -> str:
+    return f"({chance(f"'{seed}'", f"'{purpose}'", 'claim_id')} / 4503599627370496e0)"
+
+
+AT_RATE = (
+    CLAIMS
+    + f""",
+sized AS (
+  SELECT wanted, greatest(1, wanted // 4) AS groups
+  FROM (SELECT greatest(1, CAST(round_even(count(*) * 0.04e0, 0) AS BIGINT)) AS wanted FROM claims)
+),
+named AS (
+  SELECT *, row_number() OVER (ORDER BY {chance("'7'", "'pick'", "claim_id")}, claim_id) <= wanted AS picked,
+         {chance("'7'", "'donor group'", "claim_id")} % groups AS grp, {chance("'7'", "'donor of'", "claim_id")} % groups AS wants
+  FROM claims, sized
+),
+labelled AS (
+  SELECT *, CASE WHEN picked THEN ['high_paid', 'excess_units', 'duplicate_like', 'utilization_spike'][CAST(floor({drawn("scenario")} * 4) AS BIGINT) + 1]
+            ELSE 'none' END AS anomaly_scenario FROM named
+),
+donors AS (
+  SELECT * FROM named QUALIFY row_number() OVER (PARTITION BY grp ORDER BY {chance("'7'", "'donor'", "claim_id")}, claim_id) = 1
+),
+changed AS (
+  SELECT *, CASE anomaly_scenario WHEN 'high_paid' THEN 8e0 + {drawn("paid")} * 10e0 WHEN 'utilization_spike' THEN 3e0 + {drawn("spike")} * 3e0 ELSE 1e0 END AS factor,
+         CASE WHEN anomaly_scenario = 'excess_units' THEN CAST(floor(30e0 + {drawn("units")} * 70e0) AS BIGINT) ELSE units END AS new_units,
+         CASE WHEN anomaly_scenario = 'utilization_spike' THEN CAST(floor(12e0 + {drawn("procedures")} * 13e0) AS BIGINT) ELSE procedure_count END AS new_procedures,
+         CASE WHEN anomaly_scenario = 'utilization_spike' THEN CAST(floor(12e0 + {drawn("diagnoses")} * 13e0) AS BIGINT) ELSE diagnosis_count END AS new_diagnoses
+  FROM labelled
+),
+injected AS (
+  SELECT c.claim_id, coalesce(d.beneficiary_id, c.beneficiary_id) AS beneficiary_id, coalesce(d.provider_id, c.provider_id) AS provider_id,
+         coalesce(d.claim_type, c.claim_type) AS claim_type, coalesce(d.service_date, c.service_date) AS service_date,
+         round_even(coalesce(d.paid_amount, c.paid_amount * factor) * 100e0, 0) / 100e0 AS paid_amount,
+         coalesce(d.diagnosis_count, new_diagnoses) AS diagnosis_count, coalesce(d.procedure_count, new_procedures) AS procedure_count,
+         coalesce(d.units, new_units) AS units, coalesce(d.length_of_stay, c.length_of_stay) AS length_of_stay,
+         CAST(c.picked AS INT) AS is_injected_anomaly, c.anomaly_scenario
+  FROM changed c LEFT JOIN donors d ON c.anomaly_scenario = 'duplicate_like' AND d.grp = c.wants
+)"""
+)
+
 DUPLICATE = """CASE WHEN count(*) OVER (PARTITION BY beneficiary_id, provider_id, claim_type, service_date,
                 paid_amount, diagnosis_count, procedure_count, units) > 1 THEN 1 ELSE 0 END"""
 
@@ -100,7 +147,9 @@ featured AS (
 )
 
 
-def ruled(z: str = "1.6e0", units: int = 48, provider: int = 13, beneficiary: int = 5) -> str:
+def ruled(
+    z: str = "1.6e0", units: int = 48, provider: int = 13, beneficiary: int = 5, featured: str = FEATURED
+) -> str:
     total = (
         f"CASE WHEN provider_paid_zscore >= {z} THEN 0.3e0 ELSE 0e0 END"
         f" + CASE WHEN units >= {units} THEN 0.2e0 ELSE 0e0 END"
@@ -109,7 +158,7 @@ def ruled(z: str = "1.6e0", units: int = 48, provider: int = 13, beneficiary: in
         f" + CASE WHEN beneficiary_claim_count_30d >= {beneficiary} THEN 0.1e0 ELSE 0e0 END"
     )
     return (
-        FEATURED
+        featured
         + f""",
 ruled AS (
   SELECT *, {r(f"least(greatest({total}, 0e0), 1e0)")} AS rule_score,
@@ -137,10 +186,12 @@ def rank_share(score: str) -> str:
     )
 
 
-RANKED = (
-    ruled()
-    + f""",
-shares AS (SELECT *, {rank_share("model_anomaly_score")} AS share FROM ruled),
+def ranked(ctes: str, table: str) -> str:
+    """Blend, flag and ranks of the scored claims in ``table``."""
+    return (
+        ctes
+        + f""",
+shares AS (SELECT *, {rank_share("model_anomaly_score")} AS share FROM {table}),
 blended AS (
   SELECT *, {r("share")} AS model_score_percentile,
          {r("0.9e0 * share + (1e0 - 0.9e0) * rule_score")} AS ensemble_score FROM shares
@@ -151,7 +202,10 @@ ranked AS (
          {r(rank_share("ensemble_score"))} AS score_percentile
   FROM blended
 )"""
-)
+    )
+
+
+RANKED = ranked(ruled(), "ruled")
 
 QUEUE = (
     RANKED
@@ -178,6 +232,11 @@ SELECT count(*) AS claims, count_if(is_flagged) AS flagged_claims,
 FROM queue"""
 
 
+METRICS = [
+    "evaluation_available", "rows", "injected_anomalies", "top_k", "true_positives_at_k", "precision_at_k", "recall_at_k", "roc_auc", "average_precision",
+]
+
+
 def metrics_of(score: str, table: str = "ranked") -> str:
     """One row of ranking metrics by brute force over windows."""
     order = f"{score} DESC, ensemble_score DESC, claim_id" if score != "ensemble_score" else f"{score} DESC, claim_id"
@@ -349,6 +408,7 @@ ORACLE: dict[str, str] = {
     "ingest_source_problems": PROBLEMS,
     "validate_report": "WITH " + RECORDS + REPORT,
     "inject_anomalies": with_(INJECTED, f"SELECT {CLAIM_FIELDS}, is_injected_anomaly, anomaly_scenario FROM injected"),
+    "inject_at_rate": with_(AT_RATE, f"SELECT {CLAIM_FIELDS}, is_injected_anomaly, anomaly_scenario FROM injected"),
     "csv_claims": with_(CLAIMS, f"SELECT {CLAIM_FIELDS}, source_record_count FROM claims"),
     "csv_ingest_pharmacy": PHARMACY,
     "rolling_provider_30d": with_(
@@ -463,6 +523,26 @@ steps AS (
             WHERE is_flagged AND claim_type IN ('carrier', 'inpatient') AND ensemble_score >= 0.5e0
               AND list_has_any(rule_reason_codes, ['EXCESS_UNITS', 'POSSIBLE_DUPLICATE'])""",
     ),
+    "export_queue_order": with_(
+        QUEUE,
+        """SELECT row_number() OVER (ORDER BY ensemble_score DESC, claim_id) AS place, claim_id,
+           CAST(ensemble_score AS VARCHAR) AS ensemble_score, CAST(is_flagged AS VARCHAR) AS is_flagged,
+           '[' || array_to_string(list_transform(rule_reason_codes, lambda c: chr(39) || c || chr(39)), ', ') || ']' AS rule_reason_codes
+           FROM queue WHERE ensemble_score >= 0.3e0""",
+    ),
+    "metrics_document": with_(
+        RANKED,
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS ranking, unnest({names}) AS metric, unnest([{values}]) AS value FROM {metrics_of(score)}"
+            for name, score, names, values in [
+                ("primary", "anomaly_score", [*METRICS, "flagged_claims"], ", ".join(f"{m}::DOUBLE" for m in METRICS) + ", (SELECT sum(is_flagged) FROM ranked)::DOUBLE"),
+                *[
+                    (n, c, METRICS, ", ".join(f"{m}::DOUBLE" for m in METRICS))
+                    for n, c in {"isolation_forest": "model_anomaly_score", "rules": "rule_score", "ensemble": "ensemble_score"}.items()
+                ],
+            ]
+        ),
+    ),
     "queue_kpis": with_(QUEUE, KPIS),
     "queue_kpis_visible": with_(QUEUE, KPIS + " WHERE is_flagged"),
     "queue_display": with_(

@@ -1 +1 @@
-"""Readers, writers and the claim generator."""
+"""Readers and writers."""

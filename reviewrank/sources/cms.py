@@ -6,26 +6,26 @@ import re
 from collections import Counter
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewrank.functions.expr import (
     add,
-    all_hold,
     at_least_zero,
     clean_text,
     count_populated,
+    date_problem,
     first_nonempty,
     np_round,
     number,
     number_or_zero,
-    parse_yyyymmdd,
-    required,
+    sound,
     yyyymmdd_or_null,
     yyyymmdd_text,
 )
 from reviewrank.operators.validate import check_claims
 from reviewrank.schema import require_columns
+from reviewrank.session import written
 from reviewrank.sources.tables import read_claims, read_text_csv, write_claims
 
 @dataclass(frozen=True)
@@ -108,12 +108,17 @@ def _source(df: DataFrame, claim_type: str) -> tuple[DataFrame, str, Layout]:
     return source, kind, layout
 
 
+def _date_columns(source: DataFrame, layout: Layout) -> list[str]:
+    stay = layout.has_stay and STAY_DAYS not in source.columns
+    return [layout.date, *([STAY_FROM, STAY_TO] if stay else [])]
+
+
 def _stay(source: DataFrame, layout: Layout) -> Column:
     if not layout.has_stay:
         return F.lit(0).cast("long")
     if STAY_DAYS in source.columns:
         return at_least_zero(number_or_zero(source, STAY_DAYS)).cast("long")
-    days = F.datediff(parse_yyyymmdd(STAY_TO), parse_yyyymmdd(STAY_FROM)) + 1
+    days = F.datediff(yyyymmdd_or_null(STAY_TO), yyyymmdd_or_null(STAY_FROM)) + 1
     return F.coalesce(F.greatest(days, F.lit(0)), F.lit(0)).cast("long")
 
 
@@ -125,8 +130,10 @@ def canonical_records(df: DataFrame, claim_type: str) -> DataFrame:
     form a false provider nor a hot key.
     """
     source, kind, layout = _source(df, claim_type)
-    raw_id = required(clean_text(F.col(layout.claim_id)), f"{layout.claim_id} must not be missing")
-    person = required(clean_text(F.col(PERSON)), f"{PERSON} must not be missing")
+    raw_id, person = clean_text(F.col(layout.claim_id)), clean_text(F.col(PERSON))
+    missing = {layout.claim_id: raw_id, PERSON: person}
+    problems = [F.when(c.isNull(), F.lit(f"{name} must not be missing")) for name, c in missing.items()]
+    problems += [date_problem(name) for name in _date_columns(source, layout)]
     claim_id = F.concat(F.lit(f"CMS-{kind.upper()}-"), raw_id)
     named = F.concat(F.lit("CMS-PRV-"), first_nonempty(columns_like(source, layout.providers)))
     paid = add([number_or_zero(source, c) for c in columns_like(source, (layout.paid,))], F.lit(0.0))
@@ -137,13 +144,13 @@ def canonical_records(df: DataFrame, claim_type: str) -> DataFrame:
     order = [F.coalesce(segment, F.lit(float("inf"))).alias("segment")]
     if FILE_ORDER in source.columns:
         order.append(F.col(FILE_ORDER).alias("row"))
-    records = source.select(
+    return source.where(sound(problems)).select(
         claim_id.alias("claim_id"),
         raw_id.alias("source_claim_id"),
         F.concat(F.lit("CMS-BEN-"), person).alias("beneficiary_id"),
         F.coalesce(named, F.concat(F.lit("CMS-NO-PROVIDER-"), claim_id)).alias("provider_id"),
         F.lit(kind).alias("claim_type"),
-        parse_yyyymmdd(layout.date).alias("service_date"),
+        yyyymmdd_or_null(layout.date).alias("service_date"),
         np_round(at_least_zero(paid), 2).alias("paid_amount"),
         count_populated(columns_like(source, layout.diagnoses)).alias("diagnosis_count"),
         procedures.alias("procedure_count"),
@@ -152,8 +159,6 @@ def canonical_records(df: DataFrame, claim_type: str) -> DataFrame:
         F.lit(kind).alias("source_file_type"),
         F.struct(*order).alias("_order"),
     )
-    checked = ["claim_id", "beneficiary_id", "service_date", "length_of_stay"]
-    return records.where(all_hold([F.col(c) for c in checked]))
 
 
 def first_by(name: str, order: Column) -> Column:
@@ -192,24 +197,38 @@ def adapt_cms(df: DataFrame, claim_type: str) -> DataFrame:
 
 
 def source_problems(df: DataFrame, claim_type: str) -> DataFrame:
-    """What would stop the adapter: ``problem, rows, examples`` (the 3 smallest values), before a long run."""
+    """What would stop the adapter: ``problem, rows, examples`` (the 3 smallest values), before a long run.
+
+    One pass counts the problems of each kind by value; of the counts, only the three smallest values of a
+    kind are kept in one place.
+    """
     source, _, layout = _source(df, claim_type)
-    dates = [layout.date]
-    if layout.has_stay and STAY_DAYS not in source.columns:
-        dates += [STAY_FROM, STAY_TO]
-    rows = None
-    for name in [PERSON, layout.claim_id]:
-        one = source.filter(clean_text(F.col(name)).isNull()).agg(F.count(F.lit(1)).alias("rows"))
-        one = one.select(F.lit(f"missing {name}").alias("problem"), "rows", F.array().cast("array<string>").alias("examples"))
-        rows = one if rows is None else rows.unionByName(one)
-    for name in dates:
-        bad = source.filter(yyyymmdd_text(name).isNotNull() & yyyymmdd_or_null(name).isNull())
-        total = bad.agg(F.count(F.lit(1)).alias("rows"))
-        least = bad.select(yyyymmdd_text(name).alias("v")).distinct().orderBy("v").limit(3)
-        some = least.agg(F.sort_array(F.collect_list("v")))
-        one = total.select(F.lit(f"invalid {name}").alias("problem"), "rows", some.scalar().alias("examples"))
-        rows = rows.unionByName(one)
-    return rows.filter("rows > 0")
+    empty = F.lit(None).cast("string")
+    found = [
+        F.when(clean_text(F.col(name)).isNull(), F.struct(F.lit(i), F.lit(f"missing {name}"), empty))
+        for i, name in enumerate([PERSON, layout.claim_id])
+    ]
+    for i, name in enumerate(_date_columns(source, layout), len(found)):
+        text = yyyymmdd_text(name)
+        bad = text.isNotNull() & yyyymmdd_or_null(name).isNull()
+        found.append(F.when(bad, F.struct(F.lit(i), F.lit(f"invalid {name}"), text)))
+    typed = [c.cast("struct<place:int,problem:string,value:string>") for c in found]
+    values = (
+        source.select(F.inline(F.array_compact(F.array(*typed))))
+        .groupBy("place", "problem", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    totals = values.groupBy("place", "problem").agg(F.sum("n").alias("rows"))
+    least = Window.partitionBy("place").orderBy("value")
+    some = (
+        values.filter("value is not null")
+        .withColumn("_at", F.row_number().over(least))
+        .filter("_at <= 3")
+        .groupBy("place")
+        .agg(F.sort_array(F.collect_list("value")).alias("examples"))
+    )
+    none = F.array().cast("array<string>")
+    return totals.join(some, "place", "left").select("problem", "rows", F.coalesce("examples", none).alias("examples"))
 
 
 def read_cms_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -231,14 +250,16 @@ def ingest_cms_csv(
     fmt: str = "parquet",
     multi_line: bool = False,
 ) -> DataFrame:
-    """Adapt a CSV extract, write and check it when ``output`` is given, and return the claims.
+    """Adapt a CSV extract, write it, check it, and return the stored claims.
 
     Claims that break a rule, an empty table among them, raise; they lie at ``output`` to be looked at.
-    Without ``output`` nothing runs yet, and the caller checks with ``check_claims``.
+    Without ``output`` they are stored as a scratch table, as checking reads them a second time.
     """
     claims = adapt_cms(read_cms_csv(spark, path, multi_line), claim_type)
     if output is None:
-        return claims
+        stored = written(claims, "ingested")
+        check_claims(stored)
+        return stored
     write_claims(claims, output, fmt)
     stored = spark.read.schema(claims.schema).parquet(output) if fmt == "parquet" else read_claims(spark, output, fmt)
     check_claims(stored)

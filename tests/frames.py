@@ -5,11 +5,11 @@ CLAIM = (
     "paid_amount double, diagnosis_count long, procedure_count long, units long, length_of_stay long"
 )
 FIVE = [
-    ("C1", "B1", "P1", "outpatient", "2024-01-01", 100.0, 1, 1, 1, 0),
-    ("C2", "B2", "P1", "outpatient", "2024-01-15", 200.0, 2, 1, 1, 0),
-    ("C3", "B3", "P1", "inpatient", "2024-02-05", 300.0, 3, 2, 2, 3),
-    ("C4", "B1", "P2", "outpatient", "2024-01-20", 150.0, 1, 1, 1, 0),
-    ("C5", "B1", "P2", "outpatient", "2024-02-25", 250.0, 2, 1, 1, 0),
+    ("K7", "ann", "doc-a", "carrier", "2023-03-06", 120.0, 2, 1, 3, 0),
+    ("K8", "bo", "doc-a", "carrier", "2023-03-20", 180.0, 1, 2, 4, 0),
+    ("K9", "ann", "doc-a", "inpatient", "2023-04-04", 240.0, 4, 2, 1, 5),
+    ("L1", "cy", "doc-b", "pharmacy", "2023-03-11", 75.0, 1, 1, 9, 0),
+    ("L2", "ann", "doc-b", "pharmacy", "2023-03-12", 95.0, 1, 1, 2, 0),
 ]
 
 

@@ -1,4 +1,4 @@
-"""Seeded claims for tests and demonstrations."""
+"""Seeded claims for tests, and whole runs on them."""
 
 from __future__ import annotations
 
@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from reviewrank.functions.expr import np_round
 from reviewrank.operators.inject import inject_at_rate, uniform
+from reviewrank.operators.queue import prepare_queue
+from reviewrank.plans.jobs import rank_claims, run_on_claims
+from reviewrank.schema import Ranking
+from reviewrank.session import written
 
 # Share and median payment per claim type, spread of the payments, count means and
 # clips, and the first day of the year that dates fall in.
@@ -76,11 +80,20 @@ def plain_claims(spark: SparkSession, rows: int, seed: int) -> DataFrame:
 def generate_claims(spark: SparkSession, rows: int = 5_000, anomaly_rate: float = 0.04, seed: int = 42) -> DataFrame:
     """Claims with labelled anomalies; the label is for evaluation only."""
     if rows < 100:
-        raise ValueError("at least 100 rows are needed")
+        raise ValueError("too few rows")
     if not 0 < anomaly_rate < 0.25:
-        raise ValueError("anomaly_rate must be between 0 and 0.25")
+        raise ValueError("share of anomalies")
     return inject_at_rate(plain_claims(spark, rows, seed), anomaly_rate, seed)
 
 
 def by_service_date(claims: DataFrame) -> DataFrame:
     return claims.orderBy("service_date", "claim_id")
+
+
+def train_on_generated(spark: SparkSession, output: str, rows: int, how: Ranking, fmt: str = "parquet") -> dict:
+    return run_on_claims(generate_claims(spark, rows, 0.04, how.seed), output, how, fmt)
+
+
+def demo_queue(spark: SparkSession, rows: int, how: Ranking) -> DataFrame:
+    """Generated claims taken all the way to a review queue."""
+    return prepare_queue(rank_claims(written(generate_claims(spark, rows, 0.04, how.seed), "claims"), how).scored)

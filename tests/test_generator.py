@@ -3,13 +3,13 @@ from frames import CLAIM, by_id
 from pyspark.sql import functions as F
 
 from reviewrank.operators.inject import COPIED_FIELDS, inject_at_rate, pick_exactly
-from reviewrank.sources.generator import by_service_date, generate_claims, plain_claims
+from generator import by_service_date, generate_claims, plain_claims
 
 
 def test_guards(spark):
     with pytest.raises(ValueError, match="rows"):
         generate_claims(spark, 99)
-    with pytest.raises(ValueError, match="anomaly_rate"):
+    with pytest.raises(ValueError, match="share of anomalies"):
         generate_claims(spark, 100, 0.25)
 
 

@@ -87,7 +87,7 @@ def test_flags_fit_the_rate_without_ties(spark, rate):
 
 @pytest.mark.parametrize("bad", [{"model_weight": -1e-9}, {"model_weight": 1.5}, {"flag_rate": 0.0}, {"flag_rate": 0.3}])
 def test_blend_parameters(spark, bad):
-    with pytest.raises(ValueError, match="must be between"):
+    with pytest.raises(ValueError, match="lies outside"):
         ensemble.combine_scores(scores(spark, [(1, 0), (2, 1)]), **bad)
 
 
