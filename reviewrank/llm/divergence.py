@@ -5,9 +5,10 @@ least document frequency and the largest integer as vocabulary size serves all l
 Its sparse vectors are summed per (language, source) as ``Summarizer`` does, with partial sums in each task,
 but as long integers and only where a count is not 0.
 
-``CountVectorizer`` holds its vocabulary on the driver and sends it to all tasks. Before the fit an
-approximate number of different terms, which is above that of the kept ones, is compared with
-``MOST_TERMS``; past it the same counts come from grouped tables, and nothing of the vocabulary is collected.
+``CountVectorizer`` holds its vocabulary on the driver and sends it to all tasks. A kept term takes up
+``LEAST_DOCUMENTS`` or more of the pairs of document and different term, which bounds their number; where that bound is
+above ``MOST_TERMS``, the number of all different terms is estimated. If that is above it too, the same
+counts come from grouped tables, and nothing of the vocabulary is collected.
 
 Defined cases: null text, language and source are ''. A group without terms has counts of 0 throughout; a
 language without kept terms has pairs of value 0 and no terms. Repeated rows count each. Further columns
@@ -16,27 +17,71 @@ are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewrank.session import written
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: On UTF-8: ASCII letters, and all bytes of other characters.
+TERM = rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Parts a language from its term; no term holds it.
 MARK = "\x01"
 LEAST_DOCUMENTS = 30
 LARGEST_VOCABULARY = 2**31 - 1
 #: Different terms, kept or not, up to which the vocabulary may pass through the driver.
-MOST_TERMS = 20_000_000
+MOST_TERMS = 5_000_000
+#: Terms handed on at a time, and led terms remembered by a task.
+TERMS_AT_ONCE, REMEMBERED = 200_000, 1 << 18
 SCALE, SMOOTHING, TERM_RANKS = 1_000_000_000, 5, 50
 
 
-def terms_of(text: Column, lang: Column) -> Column:
-    """The terms of a text, lower-cased in A-Z only, each led by its language."""
-    found = F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(TERM), F.lit(0))
-    return F.transform(found, lambda t: F.concat(lang, F.lit(MARK), t))
+def led_terms(clean: DataFrame) -> DataFrame:
+    """``lang, source, terms, different``: the terms of every text (``text, lang, source``), lower-cased in A-Z only
+    and led by their language, and how many of them differ."""
+    pattern, mark, at_once, remembered = TERM, MARK.encode(), TERMS_AT_ONCE, REMEMBERED
+
+    def run(batches: Iterator) -> Iterator:
+        import re
+
+        import numpy as np
+        import pyarrow as pa
+
+        find = re.compile(pattern).findall
+        known: dict[bytes, dict[bytes, bytes]] = {}
+
+        def led(lang: bytes, text: bytes) -> list[bytes]:
+            own, out = known.setdefault(lang, {}), []
+            for term in find(text.lower()):
+                if (whole := own.get(term)) is None:
+                    whole = own[term] = lang + mark + term
+                out.append(whole)
+            if sum(map(len, known.values())) > remembered:
+                known.clear()
+            return out
+
+        def packed(rows: list) -> pa.RecordBatch:
+            langs, sources, lists = zip(*rows)
+            ends = np.cumsum([0, *map(len, lists)], dtype="i4")
+            terms = pa.ListArray.from_arrays(pa.array(ends), pa.array([t for one in lists for t in one], pa.string()))
+            columns = [pa.array(langs, pa.string()), pa.array(sources, pa.string()), terms, pa.array([len(set(x)) for x in lists], pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["lang", "source", "terms", "different"])
+
+        for batch in batches:
+            rows, size = [], 0
+            for text, lang, source in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "source"))):
+                rows.append((lang, source, led(lang, text)))
+                size += len(rows[-1][2]) + 1
+                if size >= at_once:
+                    yield packed(rows)
+                    rows, size = [], 0
+            if rows:
+                yield packed(rows)
+
+    raw = clean.select(*[F.col(c).cast("binary").alias(c) for c in ("text", "lang", "source")])
+    return raw.mapInArrow(run, "lang string, source string, terms array<string>, different bigint")
 
 
 def _split(term: Column) -> list[Column]:
@@ -53,12 +98,12 @@ def counts_by_vectors(tokens: DataFrame, least_documents: int) -> tuple[DataFram
     counter = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least_documents), vocabSize=LARGEST_VOCABULARY)
     model = counter.fit(tokens.select("terms"))
     vector = F.unwrap_udt(F.col("vector"))
-    cells = F.arrays_zip(vector["indices"].alias("i"), F.transform(vector["values"], lambda v: v.cast("long")).alias("n"))
+    cells = F.arrays_zip(vector["indices"].alias("i"), vector["values"].alias("n"))
     sums = (
         model.transform(tokens)
         .select("lang", "source", F.inline(cells))
         .groupBy("lang", "source", "i")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum(F.col("n").cast("long")).alias("n"))
     )
     listed = spark.createDataFrame(list(enumerate(model.vocabulary)), "i int, term string")
     kept = listed.select("i", *_split(F.col("term")))
@@ -66,14 +111,14 @@ def counts_by_vectors(tokens: DataFrame, least_documents: int) -> tuple[DataFram
 
 
 def counts_by_tables(tokens: DataFrame, least_documents: int) -> tuple[DataFrame, DataFrame]:
-    """The same two tables by grouping alone, for a vocabulary of any size."""
-    single = tokens.select("lang", "source", "doc", F.explode("terms").alias("t"))
-    per_document = single.groupBy("lang", "source", "doc", "t").agg(F.count("*").alias("n"))
-    sums = per_document.groupBy("lang", "source", "t").agg(F.sum("n").alias("n"), F.count("*").alias("documents"))
-    sums = written(sums, "term-sums")
-    kept = sums.groupBy("t").agg(F.sum("documents").alias("documents")).where(F.col("documents") >= least_documents)
-    counts = sums.join(kept.select("t"), "t").select("lang", "source", _split(F.col("t"))[1], "n")
-    return counts, kept.select(*_split(F.col("t")))
+    """The same two tables by grouping alone, for a vocabulary of any size. Both groupings combine the terms of a
+    task before they shuffle."""
+    sums = tokens.select("source", F.explode("terms").alias("t")).groupBy("source", "t").agg(F.count("*").alias("n"))
+    once = tokens.select(F.explode(F.array_distinct("terms")).alias("t"))
+    kept = once.groupBy("t").agg(F.count("*").alias("documents")).where(F.col("documents") >= least_documents).select("t")
+    kept = written(kept, "kept-terms")
+    lang, term = _split(F.col("t"))
+    return sums.join(kept, "t").select(lang, "source", term, "n"), kept.select(lang, term)
 
 
 def _share(n: Column, total: Column, kept: Column) -> Column:
@@ -97,16 +142,18 @@ def audit(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, most_terms: i
     source have each count, not the terms.
     """
     clean = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    tokens = clean.select("lang", "source", F.monotonically_increasing_id().alias("doc"), terms_of(F.col("text"), F.col("lang")).alias("terms"))
-    different = tokens.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t")).first()[0]
-    counted = counts_by_vectors if different <= most_terms else counts_by_tables
+    tokens = written(led_terms(clean), "terms")
+    most = (tokens.agg(F.sum("different")).first()[0] or 0) // least_documents
+    if most > most_terms:
+        most = tokens.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t")).first()[0]
+    counted = counts_by_vectors if most <= most_terms else counts_by_tables
     counts, kept = counted(tokens, least_documents)
     counts = written(counts, "term-counts")
 
     vocabulary = kept.groupBy("lang").agg(F.count("*").alias("v"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("present"))
     groups = written(
-        clean.select("lang", "source").distinct()
+        tokens.select("lang", "source").distinct()
         .join(totals, ["lang", "source"], "left")
         .join(vocabulary, "lang", "left")
         .select("lang", "source", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("total", "present", "v")])

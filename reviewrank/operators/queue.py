@@ -32,6 +32,11 @@ def _problems(scored: DataFrame) -> list[Column]:
     return [*out, F.when(no_flag, F.concat(F.lit("not a review flag: "), shown("is_flagged")))]
 
 
+def _or_stop(value: Column, message: str, kind: str) -> Column:
+    """The value; where it is null the job stops, also if a filter on the value comes before the check."""
+    return F.coalesce(value, F.raise_error(F.lit(message)).cast(kind))
+
+
 def prepare_queue(scored: DataFrame) -> DataFrame:
     """Typed and checked queue rows. A value that breaks the contract stops the job from inside
     the plan, whatever columns are read later, so no checking pass is needed. The result is not sorted;
@@ -40,8 +45,9 @@ def prepare_queue(scored: DataFrame) -> DataFrame:
     changed = {
         "claim_id": F.col("claim_id").cast("string"),
         "claim_type": F.col("claim_type").cast("string"),
-        **{c: number(scored, c) for c in ["paid_amount", *QUEUE_SCORE_COLUMNS]},
-        "is_flagged": parse_flag(scored, "is_flagged"),
+        "paid_amount": number(scored, "paid_amount"),
+        **{c: _or_stop(number(scored, c), f"{c} lies outside [0, 1]: no number", "double") for c in QUEUE_SCORE_COLUMNS},
+        "is_flagged": _or_stop(parse_flag(scored, "is_flagged"), "not a review flag: none", "boolean"),
         "rule_reason_codes": parse_reason_codes(scored, "rule_reason_codes"),
     }
     if "service_date" in scored.columns:

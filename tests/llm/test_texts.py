@@ -157,6 +157,59 @@ def test_passages(spark):
     assert passages.repeated_passages(docs(spark, [])).collect() == []
 
 
+def test_a_passage_whose_parts_came_earlier(spark):
+    """Four documents have 40 words of a passage each, two have all its 100 words."""
+    whole = words(70, 100)
+    parts = [" ".join(words(80 + i, 30) + whole[20 * i : 20 * i + 40] + words(90 + i, 30)) for i in range(4)]
+    full = [" ".join(words(100 + i, 25) + whole + words(110 + i, 25)) for i in range(2)]
+    got = passages.repeated_passages(docs(spark, [*parts, *full])).collect()
+    assert [(r["doc_id"], r["source_id"], r["start"], r["end"], r["similarity"]) for r in got] == [(5, 4, 25, 125, 1.0)]
+
+
+def test_texts_of_one_id_are_apart(spark):
+    shared = words(50, 80)
+    rows = [(1, " ".join(shared)), (2, " ".join(words(1, 20) + shared + words(2, 20))), (2, " ".join(words(3, 200))), (2, " ".join(words(3, 200))), (None, " ".join(shared))]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [(r["doc_id"], r["source_id"], r["start"], r["end"]) for r in passages.repeated_passages(table).collect()] == [(2, 1, 20, 100)]
+    left = sorted((r["doc_id"] or 0, " ".join(r["text"].split())) for r in passages.without_repeats(table).collect())
+    assert left == sorted([(0, rows[4][1]), (1, rows[0][1]), (2, " ".join(words(1, 20) + words(2, 20))), (2, rows[2][1]), (2, rows[3][1])])
+    twins = spark.createDataFrame([(7, "a " + " ".join(shared)), (7, "b " + " ".join(shared))], "doc_id bigint, text string")
+    assert passages.without_repeats(twins).count() == 2 and passages.repeated_passages(twins).count() == 1
+
+
+def longest_runs(a, b):
+    """Maximal runs of equal words of two lists: (start in a, start in b, words)."""
+    out, at = [], {}
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            if a[i] == b[j]:
+                at[i, j] = at.pop((i + 1, j + 1), 0) + 1
+    return [(i, j, n) for (i, j), n in at.items()]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_all_repeated_runs_of_random_corpora(spark, seed):
+    """Documents made of shared boilerplate, passages and their own words: every run of 50 words that an
+    earlier document has is reported, from any document that has it."""
+    rng = random.Random(seed)
+    stock = [words(300 + i, rng.choice([8, 20, 40, 60, 110])) for i in range(8)]
+    texts = []
+    for i in range(16):
+        parts = [words(1000 * seed + 20 * i + k, rng.randint(5, 60)) for k in range(3)]
+        for _ in range(rng.randint(0, 3)):
+            piece = rng.choice(stock)
+            cut = rng.randrange(0, len(piece) // 2 + 1) if rng.random() < 0.4 else 0
+            parts.insert(rng.randrange(len(parts) + 1), piece[cut:])
+        texts.append([w for p in parts for w in p])
+    got = [r for r in passages.repeated_passages(docs(spark, [" ".join(t) for t in texts])).collect()]
+    covered = {(r["doc_id"], k) for r in got for k in range(r["start"], r["end"])}
+    wanted = {(i, k) for i in range(16) for j in range(i) for x, _, n in longest_runs(texts[i], texts[j]) if n >= 50 for k in range(x, x + n)}
+    assert wanted and wanted <= covered
+    for r in got:
+        own, source = texts[r["doc_id"]][r["start"] : r["end"]], texts[r["source_id"]][r["source_start"] : r["source_end"]]
+        assert r["source_id"] < r["doc_id"] and min(len(own), len(source)) >= 50 and len(set(own) & set(source)) >= 0.8 * len(set(own))
+
+
 def best_chain(points, cost):
     best = {}
     for p in sorted(set(points)):
