@@ -91,6 +91,16 @@ def test_markov_models_find_random_strings_only(spark):
     assert clean[120] == ("see [secret] there", 18, "r") and clean[80][0] == "key [secret]" and clean[0][0] == plain[0]
 
 
+def test_samples_of_huge_tables():
+    """The share of a sample never falls to nothing: thresholds have 64 bits."""
+    from reviewrank.llm.arrays import drawn
+
+    for rows in (10**5, 10**11, 10**14):
+        text = str(drawn(20_000, rows, "doc_id")._jc.toString())
+        limit = int(re.search(r"<= (-?\d+)", text)[1])
+        assert math.isclose((limit + 2**63) / 2**64, 20_000 / rows, rel_tol=1e-3)
+
+
 def test_span_text(spark):
     row = docs(spark, ["token=abcdefghijklm 0123456789abcdef"]).select(secrets.as_text(secrets.base_spans(F.col("text"))).alias("s")).first()
     assert row["s"] == "assign:0:19,hex:20:36"
