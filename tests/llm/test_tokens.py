@@ -120,3 +120,28 @@ def test_packed_documents(spark):
             at += r["length"]
         assert at <= 2048
     assert packed_documents(docs(spark, []), PATH).collect() == []
+
+
+def test_long_white_space_and_text_ids(spark):
+    """A run of blanks that ends the fast encoder's stack; ids of documents that are no numbers."""
+    texts = ["a" + " " * 1_500_000 + "b", " \n" * 80_000, "plain words"]
+    table = docs(spark, texts).selectExpr("concat('d', doc_id) AS doc_id", "text")
+    got = defaultdict(list)
+    for r in packed_documents(table, PATH).collect():
+        got[r["doc_id"]].append(r)
+    for i, text in enumerate(texts):
+        whole = [*LIBRARY.encode(text, add_special_tokens=False).ids, 0]
+        for r in got[f"d{i}"]:
+            piece = whole[r["start"] : r["start"] + r["length"]]
+            assert zlib.crc32(struct.pack(f"<{len(piece)}I", *piece)) == r["ids_crc32"]
+        assert sum(r["length"] for r in got[f"d{i}"]) == len(whole)
+
+
+def test_a_vocabulary_out_of_order_is_refused(spark, tmp_path):
+    import json
+
+    spec = json.loads(open(PATH, encoding="utf-8").read())
+    spec["model"]["merges"][:2] = spec["model"]["merges"][1::-1]
+    (tmp_path / "v.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="do not follow"):
+        packed_documents(docs(spark, ["a"]), str(tmp_path / "v.json"))
