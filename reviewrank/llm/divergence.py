@@ -1,9 +1,11 @@
 """How far sources of one language differ in their words: exact, from sparse document vectors.
 
-Terms are counted per language: each token is led by its language, so that one ``CountVectorizer`` with a
-least document frequency and the largest integer as vocabulary size serves all languages in one fit.
-Its sparse vectors are summed per (language, source) as ``Summarizer`` does, with partial sums in each task,
-but as long integers and only where a count is not 0.
+A document's sparse vector is its different terms and their counts, two arrays of a written table. Terms are
+led by their language, so that one ``CountVectorizer`` with a least document frequency and the largest integer as
+vocabulary size serves all languages in one fit, on the different terms, as only document frequencies decide.
+The vectors are summed per (language, source) as ``Summarizer`` does, with partial sums in each task, but as
+long integers and only where a count is not 0; of the sums, the vocabulary's terms stay. Turning terms into
+the vectorizer's indices and back would read every token twice more (882 instead of 600 CPU seconds a GB and less).
 
 ``CountVectorizer`` holds its vocabulary on the driver and sends it to all tasks. A kept term takes up
 ``LEAST_DOCUMENTS`` or more of the pairs of document and different term, which bounds their number; where that bound is
@@ -39,12 +41,13 @@ SCALE, SMOOTHING, TERM_RANKS = 1_000_000_000, 5, 50
 
 
 def led_terms(clean: DataFrame) -> DataFrame:
-    """``lang, source, terms, different``: the terms of every text (``text, lang, source``), lower-cased in A-Z only
-    and led by their language, and how many of them differ."""
+    """``lang, source, terms, counts``: the different terms of every text (``text, lang, source``), lower-cased in
+    A-Z only and led by their language, and how often each occurs."""
     pattern, mark, at_once, remembered = TERM, MARK.encode(), TERMS_AT_ONCE, REMEMBERED
 
     def run(batches: Iterator) -> Iterator:
         import re
+        from collections import Counter
 
         import numpy as np
         import pyarrow as pa
@@ -52,36 +55,36 @@ def led_terms(clean: DataFrame) -> DataFrame:
         find = re.compile(pattern).findall
         known: dict[bytes, dict[bytes, bytes]] = {}
 
-        def led(lang: bytes, text: bytes) -> list[bytes]:
-            own, out = known.setdefault(lang, {}), []
-            for term in find(text.lower()):
-                if (whole := own.get(term)) is None:
-                    whole = own[term] = lang + mark + term
-                out.append(whole)
-            if sum(map(len, known.values())) > remembered:
-                known.clear()
-            return out
+        def led(lang: bytes, terms) -> list[bytes]:
+            own = known.setdefault(lang, {})
+            if len(own) > remembered:
+                own.clear()
+            return [own.get(t) or own.setdefault(t, lang + mark + t) for t in terms]
 
         def packed(rows: list) -> pa.RecordBatch:
-            langs, sources, lists = zip(*rows)
-            ends = np.cumsum([0, *map(len, lists)], dtype="i4")
-            terms = pa.ListArray.from_arrays(pa.array(ends), pa.array([t for one in lists for t in one], pa.string()))
-            columns = [pa.array(langs, pa.string()), pa.array(sources, pa.string()), terms, pa.array([len(set(x)) for x in lists], pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["lang", "source", "terms", "different"])
+            langs, sources, lists, counts = zip(*rows)
+            ends = pa.array(np.cumsum([0, *map(len, lists)], dtype="i4"))
+            terms = pa.ListArray.from_arrays(ends, pa.array([t for one in lists for t in one], pa.string()))
+            numbers = pa.ListArray.from_arrays(ends, pa.array([n for one in counts for n in one], pa.int64()))
+            columns = [pa.array(langs, pa.string()), pa.array(sources, pa.string()), terms, numbers]
+            return pa.RecordBatch.from_arrays(columns, ["lang", "source", "terms", "counts"])
 
         for batch in batches:
             rows, size = [], 0
             for text, lang, source in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "source"))):
-                rows.append((lang, source, led(lang, text)))
-                size += len(rows[-1][2]) + 1
+                found = Counter(find(text.lower()))
+                rows.append((lang, source, led(lang, found), found.values()))
+                size += len(found) + 1
                 if size >= at_once:
                     yield packed(rows)
                     rows, size = [], 0
             if rows:
                 yield packed(rows)
+            if len(known) > 1_000:
+                known.clear()
 
     raw = clean.select(*[F.col(c).cast("binary").alias(c) for c in ("text", "lang", "source")])
-    return raw.mapInArrow(run, "lang string, source string, terms array<string>, different bigint")
+    return raw.mapInArrow(run, "lang string, source string, terms array<string>, counts array<bigint>")
 
 
 def _split(term: Column) -> list[Column]:
@@ -92,33 +95,25 @@ def _split(term: Column) -> list[Column]:
     ]
 
 
-def counts_by_vectors(tokens: DataFrame, least_documents: int) -> tuple[DataFrame, DataFrame]:
-    """``lang, source, term, n`` where n > 0, and the kept ``lang, term``, through sparse vectors."""
-    spark = tokens.sparkSession
+def vocabulary_by_vectorizer(vectors: DataFrame, least_documents: int) -> DataFrame:
+    """The kept led terms, as ``t``."""
     counter = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least_documents), vocabSize=LARGEST_VOCABULARY)
-    model = counter.fit(tokens.select("terms"))
-    vector = F.unwrap_udt(F.col("vector"))
-    cells = F.arrays_zip(vector["indices"].alias("i"), vector["values"].alias("n"))
-    sums = (
-        model.transform(tokens)
-        .select("lang", "source", F.inline(cells))
-        .groupBy("lang", "source", "i")
-        .agg(F.sum(F.col("n").cast("long")).alias("n"))
-    )
-    listed = spark.createDataFrame(list(enumerate(model.vocabulary)), "i int, term string")
-    kept = listed.select("i", *_split(F.col("term")))
-    return sums.join(kept.select("i", "term"), "i").select("lang", "source", "term", "n"), kept.select("lang", "term")
-
-
-def counts_by_tables(tokens: DataFrame, least_documents: int) -> tuple[DataFrame, DataFrame]:
-    """The same two tables by grouping alone, for a vocabulary of any size. Both groupings combine the terms of a
-    task before they shuffle."""
-    sums = tokens.select("source", F.explode("terms").alias("t")).groupBy("source", "t").agg(F.count("*").alias("n"))
-    once = tokens.select(F.explode(F.array_distinct("terms")).alias("t"))
-    kept = once.groupBy("t").agg(F.count("*").alias("documents")).where(F.col("documents") >= least_documents).select("t")
-    kept = written(kept, "kept-terms")
+    model = counter.fit(vectors.select("terms"))
+    return vectors.sparkSession.createDataFrame([(t,) for t in model.vocabulary], "t string")
+
+
+def vocabulary_by_table(vectors: DataFrame, least_documents: int) -> DataFrame:
+    """The same by grouping alone, for a vocabulary of any size; terms of a task are combined before they are shuffled."""
+    once = vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("documents"))
+    return once.where(F.col("documents") >= least_documents).select("t")
+
+
+def group_sums(vectors: DataFrame, kept: DataFrame) -> DataFrame:
+    """``lang, source, term, n`` of the kept terms, where n > 0."""
+    cells = vectors.select("source", F.inline(F.arrays_zip(F.col("terms").alias("t"), F.col("counts").alias("n"))))
+    sums = cells.groupBy("source", "t").agg(F.sum("n").alias("n"))
     lang, term = _split(F.col("t"))
-    return sums.join(kept, "t").select(lang, "source", term, "n"), kept.select(lang, term)
+    return sums.join(kept, "t").select(lang, "source", term, "n")
 
 
 def _share(n: Column, total: Column, kept: Column) -> Column:
@@ -142,20 +137,21 @@ def audit(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, most_terms: i
     source have each count, not the terms.
     """
     clean = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    tokens = written(led_terms(clean), "terms")
-    most = (tokens.agg(F.sum("different")).first()[0] or 0) // least_documents
+    vectors = written(led_terms(clean), "term-vectors")
+    most = (vectors.agg(F.sum(F.size("terms"))).first()[0] or 0) // least_documents
     if most > most_terms:
-        most = tokens.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t")).first()[0]
-    counted = counts_by_vectors if most <= most_terms else counts_by_tables
-    counts, kept = counted(tokens, least_documents)
-    counts = written(counts, "term-counts")
+        most = vectors.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t")).first()[0]
+    vocabulary = vocabulary_by_vectorizer if most <= most_terms else vocabulary_by_table
+    led = written(vocabulary(vectors, least_documents), "kept-terms")
+    counts = written(group_sums(vectors, led), "term-counts")
+    kept = led.select(*_split(F.col("t")))
 
-    vocabulary = kept.groupBy("lang").agg(F.count("*").alias("v"))
+    sizes = kept.groupBy("lang").agg(F.count("*").alias("v"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("present"))
     groups = written(
-        tokens.select("lang", "source").distinct()
+        vectors.select("lang", "source").distinct()
         .join(totals, ["lang", "source"], "left")
-        .join(vocabulary, "lang", "left")
+        .join(sizes, "lang", "left")
         .select("lang", "source", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("total", "present", "v")])
         .withColumn("empty", F.when(F.col("v") > 0, _share(F.lit(0).cast("long"), F.col("total"), F.col("v")))),
         "source-groups",
