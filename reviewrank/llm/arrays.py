@@ -25,7 +25,15 @@ def words_of(text: Column) -> Column:
     )
 
 
+#: Bits of a hash that a sample goes by.
+SAMPLE_BITS = 62
+
+
+def hash_limit(wanted: int, rows: int) -> int:
+    """The ``SAMPLE_BITS``-bit hash below which about ``wanted`` of ``rows`` rows lie."""
+    return int(min(1.0, wanted / max(rows, 1)) * 2**SAMPLE_BITS)
+
+
 def drawn(wanted: int, rows: int, *key: Column | str) -> Column:
-    """True for about ``wanted`` of ``rows`` rows, by a 64-bit hash of the key: the same at any size of table."""
-    limit = (1 << 63) - 1 if rows <= wanted else int(-(2**63) + wanted / rows * 2**64)
-    return F.xxhash64(*key) <= F.lit(limit)
+    """True for about ``wanted`` of ``rows`` rows, by a hash of the key: the same at any size of table."""
+    return F.shiftrightunsigned(F.xxhash64(*key), 64 - SAMPLE_BITS) < F.lit(hash_limit(wanted, rows))

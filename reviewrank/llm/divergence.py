@@ -5,7 +5,7 @@ led by their language, so that one ``CountVectorizer`` with a least document fre
 vocabulary size serves all languages in one fit, on the different terms, as only document frequencies decide.
 The vectors are summed per (language, source) as ``Summarizer`` does, with partial sums in each task, but as
 long integers and only where a count is not 0; of the sums, the vocabulary's terms stay. Turning terms into
-the vectorizer's indices and back would read every token twice more (882 instead of 600 CPU seconds a GB and less).
+the vectorizer's indices and back would read every token once more (README has the figures).
 
 ``CountVectorizer`` holds its vocabulary on the driver and sends it to all tasks. A kept term takes up
 ``LEAST_DOCUMENTS`` or more of the pairs of document and different term, which bounds their number; where that bound is
