@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,9 @@ PYTHON_LIST_PATTERN = (
     rf"(?s)^(\[\s*({_MANY})?\]|\{{{_MANY}\}}|\(\s*\)|\({_QUOTED},\s*\)|\({_QUOTED}(,{_QUOTED})+,?\s*\))$"
 )
 WHITESPACE = " \t\n\r\f\u000b"
+# Both lists of words as one pattern, which is short code where many cells of a row are cleaned.
+_CSV_NULL, _TEXT_NULL = ("|".join(map(re.escape, words)) for words in (CSV_NULL_WORDS, TEXT_NULL_WORDS))
+MISSING_PATTERN = rf"\A(?:{_CSV_NULL}|[{WHITESPACE}]*(?i:{_TEXT_NULL})[{WHITESPACE}]*)\z"
 
 
 def np_round(c: Column, digits: int) -> Column:
@@ -43,8 +47,7 @@ def strip(c: Column) -> Column:
 def clean_text(c: Column) -> Column:
     """Trimmed text, or null for an empty cell or a word that means missing."""
     text = c.cast("string")
-    missing = text.isin(CSV_NULL_WORDS) | F.lower(strip(text)).isin(TEXT_NULL_WORDS)
-    return F.when(~missing, strip(text))
+    return F.when(~text.rlike(MISSING_PATTERN), strip(text))
 
 
 def number(df: DataFrame, name: str) -> Column:
@@ -78,14 +81,17 @@ def yyyymmdd_text(name: str) -> Column:
 
 
 def yyyymmdd_or_null(name: str) -> Column:
-    text = yyyymmdd_text(name)
+    return date_of(yyyymmdd_text(name))
+
+
+def date_of(text: Column) -> Column:
     return F.when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
 
 
-def date_problem(name: str) -> Column:
-    """What is wrong with a cell that is neither missing nor eight digits of a date; null where nothing is."""
-    text = yyyymmdd_text(name)
-    bad = text.isNotNull() & yyyymmdd_or_null(name).isNull()
+def date_problem(name: str, text: Column, date: Column) -> Column:
+    """What is wrong with a cell that is neither missing nor eight digits of a date; null where nothing is.
+    ``text`` and ``date`` are the cleaned cell and what it was read as."""
+    bad = text.isNotNull() & date.isNull()
     return F.when(bad, F.concat(F.lit(f"no YYYYMMDD date in {name}: "), text))
 
 

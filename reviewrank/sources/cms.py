@@ -14,6 +14,7 @@ from reviewrank.functions.expr import (
     at_least_zero,
     clean_text,
     count_populated,
+    date_of,
     date_problem,
     first_nonempty,
     np_round,
@@ -113,13 +114,11 @@ def _date_columns(source: DataFrame, layout: Layout) -> list[str]:
     return [layout.date, *([STAY_FROM, STAY_TO] if stay else [])]
 
 
-def _stay(source: DataFrame, layout: Layout) -> Column:
-    if not layout.has_stay:
-        return F.lit(0).cast("long")
-    if STAY_DAYS in source.columns:
-        return at_least_zero(number_or_zero(source, STAY_DAYS)).cast("long")
-    days = F.datediff(yyyymmdd_or_null(STAY_TO), yyyymmdd_or_null(STAY_FROM)) + 1
-    return F.coalesce(F.greatest(days, F.lit(0)), F.lit(0)).cast("long")
+def _stay(dates: list[Column], days: Column) -> Column:
+    """The days of a stay: from its dates, where an extract has no days of its own (see ``_date_columns``)."""
+    if len(dates) < 3:
+        return days
+    return F.coalesce(F.greatest(F.datediff(dates[2], dates[1]) + 1, F.lit(0)), F.lit(0)).cast("long")
 
 
 def canonical_records(df: DataFrame, claim_type: str) -> DataFrame:
@@ -130,34 +129,57 @@ def canonical_records(df: DataFrame, claim_type: str) -> DataFrame:
     form a false provider nor a hot key.
     """
     source, kind, layout = _source(df, claim_type)
-    raw_id, person = clean_text(F.col(layout.claim_id)), clean_text(F.col(PERSON))
-    missing = {layout.claim_id: raw_id, PERSON: person}
-    problems = [F.when(c.isNull(), F.lit(f"{name} must not be missing")) for name, c in missing.items()]
-    problems += [date_problem(name) for name in _date_columns(source, layout)]
-    claim_id = F.concat(F.lit(f"CMS-{kind.upper()}-"), raw_id)
-    named = F.concat(F.lit("CMS-PRV-"), first_nonempty(columns_like(source, layout.providers)))
+    names = _date_columns(source, layout)
     paid = add([number_or_zero(source, c) for c in columns_like(source, (layout.paid,))], F.lit(0.0))
-    procedures = count_populated(columns_like(source, layout.procedures))
-    units = at_least_zero(number_or_zero(source, layout.quantity)).cast("long") if layout.quantity else procedures
+    procedures = F.col("_procedures")
+    quantity = at_least_zero(number_or_zero(source, layout.quantity)).cast("long") if layout.quantity else F.lit(None).cast("long")
     segment = number(source, "SEGMENT") if "SEGMENT" in source.columns else F.lit(None).cast("double")
     # Rows without a segment number come after those with one.
     order = [F.coalesce(segment, F.lit(float("inf"))).alias("segment")]
     if FILE_ORDER in source.columns:
         order.append(F.col(FILE_ORDER).alias("row"))
-    return source.where(sound(problems)).select(
-        claim_id.alias("claim_id"),
-        raw_id.alias("source_claim_id"),
-        F.concat(F.lit("CMS-BEN-"), person).alias("beneficiary_id"),
-        F.coalesce(named, F.concat(F.lit("CMS-NO-PROVIDER-"), claim_id)).alias("provider_id"),
-        F.lit(kind).alias("claim_type"),
-        yyyymmdd_or_null(layout.date).alias("service_date"),
+    given = layout.has_stay and STAY_DAYS in source.columns
+    days = at_least_zero(number_or_zero(source, STAY_DAYS)).cast("long") if given else F.lit(0).cast("long")
+    # Cells are cleaned once, in a projection of their own.
+    cells = source.select(
+        clean_text(F.col(layout.claim_id)).alias("_id"),
+        clean_text(F.col(PERSON)).alias("_person"),
+        first_nonempty(columns_like(source, layout.providers)).alias("_named"),
         np_round(at_least_zero(paid), 2).alias("paid_amount"),
         count_populated(columns_like(source, layout.diagnoses)).alias("diagnosis_count"),
+        count_populated(columns_like(source, layout.procedures)).alias("_procedures"),
+        quantity.alias("_quantity"),
+        days.alias("_days"),
+        F.struct(*order).alias("_order"),
+        *[yyyymmdd_text(n).alias(f"_text{i}") for i, n in enumerate(names)],
+    )
+    dates = [F.col(f"_date{i}") for i in range(len(names))]
+    read = cells.withColumns({f"_date{i}": date_of(F.col(f"_text{i}")) for i in range(len(names))})
+
+    def whole(row: Column) -> Column:
+        missing = {layout.claim_id: row["_id"], PERSON: row["_person"]}
+        problems = [F.when(c.isNull(), F.lit(f"{name} must not be missing")) for name, c in missing.items()]
+        texts = [row[f"_text{i}"] for i in range(len(names))]
+        return sound(problems + [date_problem(n, t, date_of(t)) for n, t in zip(names, texts)])
+
+    # Bound in a lambda, each cleaned cell stands in the condition once. Written out, the condition becomes a
+    # method too long for the JVM to compile, and the job runs in its interpreter.
+    checked = F.exists(F.array(F.struct("_id", "_person", *[f"_text{i}" for i in range(len(names))])), whole)
+    claim_id = F.concat(F.lit(f"CMS-{kind.upper()}-"), F.col("_id"))
+    return read.where(checked).select(
+        claim_id.alias("claim_id"),
+        F.col("_id").alias("source_claim_id"),
+        F.concat(F.lit("CMS-BEN-"), F.col("_person")).alias("beneficiary_id"),
+        F.coalesce(F.concat(F.lit("CMS-PRV-"), F.col("_named")), F.concat(F.lit("CMS-NO-PROVIDER-"), claim_id)).alias("provider_id"),
+        F.lit(kind).alias("claim_type"),
+        dates[0].alias("service_date"),
+        "paid_amount",
+        "diagnosis_count",
         procedures.alias("procedure_count"),
-        units.alias("units"),
-        _stay(source, layout).alias("length_of_stay"),
+        (F.col("_quantity") if layout.quantity else procedures).alias("units"),
+        _stay(dates, F.col("_days")).alias("length_of_stay"),
         F.lit(kind).alias("source_file_type"),
-        F.struct(*order).alias("_order"),
+        "_order",
     )
 
 
@@ -177,7 +199,10 @@ def collapse_segments(records: DataFrame, order: Column, carried: list[str] | No
     firsts = ["source_claim_id", *fields, "source_file_type"]
     kept = [c for c in firsts if c in records.columns and c not in carried]
     ordered = order.alias("_at")
-    return records.groupBy("claim_id", *carried).agg(
+    # Sorting inside the aggregation goes by the first key: numbers sort faster than ids with one prefix.
+    numbers = [c for c in carried if records.schema[c].dataType.typeName() in ("long", "integer")]
+    rest = [c for c in carried if c not in numbers]
+    collapsed = records.groupBy(*numbers, "claim_id", *rest).agg(
         *[first_by(c, ordered) for c in kept],
         F.min("service_date").alias("service_date"),
         *[
@@ -186,6 +211,7 @@ def collapse_segments(records: DataFrame, order: Column, carried: list[str] | No
         ],
         F.count(F.lit(1)).alias("source_record_count"),
     )
+    return collapsed.select("claim_id", *carried, *collapsed.columns[1 + len(carried) :])
 
 
 def adapt_cms(df: DataFrame, claim_type: str) -> DataFrame:
