@@ -175,6 +175,28 @@ def test_a_passage_whose_parts_came_earlier(spark):
     assert [(r["doc_id"], r["source_id"], r["start"], r["end"], r["similarity"]) for r in got] == [(5, 4, 25, 125, 1.0)]
 
 
+def test_a_run_of_fifty_words_whose_long_parts_came_earlier(spark):
+    """Every part of 33 words leads to a document with 49 words of the passage; two have all its 50. A third one has
+    more of it behind a passage that is covered."""
+    whole = words(500, 50)
+    parts = [" ".join(words(510 + i, 30) + whole[i : i + 49] + words(520 + i, 30)) for i in range(2)]
+    full = [" ".join(words(530 + i, 25) + whole + words(540 + i, 25)) for i in range(2)]
+    got = passages.repeated_passages(docs(spark, [*parts, *full])).collect()
+    assert [(r["doc_id"], r["source_id"], r["start"], r["end"], r["similarity"]) for r in got] == [(3, 2, 25, 75, 1.0)]
+    long = words(600, 130)
+    texts = [" ".join(words(610 + i, 30) + long[a:b] + words(620 + i, 30)) for i, (a, b) in enumerate([(0, 70), (22, 72), (80, 129), (81, 130), (80, 130), (0, 130)])]
+    covered = {k for r in passages.repeated_passages(docs(spark, texts)).collect() if r["doc_id"] == 5 for k in range(r["start"], r["end"])}
+    assert set(range(30, 102)) | set(range(110, 160)) <= covered
+
+
+def test_repeated_seeds_pass_the_filter(spark):
+    rng = random.Random(9)
+    hashes = [rng.getrandbits(64) - (1 << 63) for _ in range(700)]
+    rows = [(d, 0, 0, 0, 0, 0, hashes[d % 700]) for d in range(1000)]
+    passed = passages.repeated_seeds(spark.createDataFrame(rows, passages.SEED)).collect()
+    assert {d for d in range(1000) if d % 700 < 300} <= {r["doc_id"] for r in passed} and len(passed) < 700
+
+
 def test_texts_of_one_id_are_apart(spark):
     shared = words(50, 80)
     rows = [(1, " ".join(shared)), (2, " ".join(words(1, 20) + shared + words(2, 20))), (2, " ".join(words(3, 200))), (2, " ".join(words(3, 200))), (None, " ".join(shared))]
