@@ -32,6 +32,12 @@ def _problems(scored: DataFrame) -> list[Column]:
     return [*out, F.when(no_flag, F.concat(F.lit("not a review flag: "), shown("is_flagged")))]
 
 
+def _checked(problems: list[Column]) -> Column:
+    """``sound``, with the problem bound in a lambda. Written out, the problems stand in the condition twice, and it becomes
+    a method too long for the JVM to compile, which then runs in its interpreter."""
+    return F.exists(F.array(F.coalesce(*problems)), lambda found: sound([found]))
+
+
 def _or_stop(value: Column, message: str, kind: str) -> Column:
     """The value; where it is null the job stops, also if a filter on the value comes before the check."""
     return F.coalesce(value, F.raise_error(F.lit(message)).cast(kind))
@@ -55,7 +61,7 @@ def prepare_queue(scored: DataFrame) -> DataFrame:
     if "is_injected_anomaly" in scored.columns:
         label = F.coalesce(number(scored, "is_injected_anomaly"), F.lit(0.0))
         changed["is_injected_anomaly"] = label.cast("int")
-    prepared = scored.where(sound(_problems(scored))).withColumns(changed)
+    prepared = scored.where(_checked(_problems(scored))).withColumns(changed)
     return prepared.withColumn("reason_codes_display", reason_display(F.col("rule_reason_codes")))
 
 

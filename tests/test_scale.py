@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from reviewrank.operators import ensemble, features, inject, ranking
+from reviewrank.operators import ensemble, features, inject, queue, ranking
 from reviewrank.session import written
 from reviewrank.sources import cms
 
@@ -74,3 +74,42 @@ def test_the_row_check_cleans_each_cell_once(spark):
     )
     check = re.findall(r"Filter exists.*", cms.canonical_records(written(source, "scale-extract"), "inpatient")._jdf.queryExecution().optimizedPlan().toString().replace("\n", " "))
     assert len(check) == 1 and check[0].split("Relation")[0].count("trim(") <= 5
+
+
+def copied_claims(spark):
+    """Rows of which two pairs are equal, one with a null; one row differs from a pair in one field only."""
+    fields = "claim_id string, beneficiary_id string, provider_id string, claim_type string, service_date timestamp, paid_amount double, diagnosis_count long, procedure_count long, units long, length_of_stay long"
+    rows = [("a", "b", "p", "t", None, 1.0, 1, 1, 1, 0), ("c", "b", "p", "t", None, 1.0, 1, 1, 1, 3), ("d", "b", "p", "t", None, 1.0, 1, 1, 2, 0)]
+    rows += [("e", None, "q", "t", None, 0.0, 1, 1, 1, 0), ("f", None, "q", "t", None, -0.0, 1, 1, 1, 0), ("g", "q", None, "t", None, 0.0, 1, 1, 1, 0)]
+    return written(spark.createDataFrame(rows, fields), "copied")
+
+
+def test_short_keys_are_broadcast_whatever_their_bytes(spark):
+    """Sizes at which Spark's own check would shuffle the claims once more."""
+    claims = copied_claims(spark)
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "1b")
+        marked = features.with_duplicate_indicator(claims)
+        text = plan_of(marked)
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+        donors = plan_of(inject.donor_table(claims, F.col("units"), F.col("claim_id"), written(claims.select(F.col("units").alias("donor_key")), "asked")))
+        assert "BroadcastHashJoin" in donors and "SortMergeJoin" not in donors
+        assert plan_of(features.claim_features(claims)).count("SortMergeJoin") == 2
+        assert {r["claim_id"]: r["duplicate_indicator"] for r in marked.collect()} == {"a": 1, "c": 1, "d": 0, "e": 1, "f": 1, "g": 0}
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_copies_are_told_from_claims_of_the_same_hash(spark):
+    for key in (F.lit(7), F.length("provider_id")):
+        marked = features.with_duplicate_indicator(copied_claims(spark), key=key)
+        assert {r["claim_id"]: r["duplicate_indicator"] for r in marked.collect()} == {"a": 1, "c": 1, "d": 0, "e": 1, "f": 1, "g": 0}
+
+
+def test_the_queue_check_names_each_problem_once(spark):
+    row = ("a", "t", 1.0, 0.5, 0.5, 0.5, 1, ["X"])
+    source = spark.createDataFrame([row], "claim_id string, claim_type string, paid_amount double, model_score_percentile double, rule_score double, ensemble_score double, is_flagged int, rule_reason_codes array<string>")
+    plan = queue.prepare_queue(written(source, "scale-queue")).select("claim_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ensemble_score lies outside [0, 1]: ") == 1
