@@ -74,3 +74,11 @@ def test_large_counts(spark):
     n, total, kept = 3 * 10**13 + 7, 9 * 10**13 + 1, 123_457
     row = spark.range(1).select(di._share(F.lit(n), F.lit(total), F.lit(kept).cast("long"))).first()
     assert row[0] == 1 + 10**9 * (n + 5) // (total + 5 * kept)
+
+
+def test_all_bytes_part_terms_as_the_pattern_does(spark):
+    text = "".join(map(chr, range(1, 256))) + "aZ\u20ac\U0001f600\x85B\u2028c"
+    clean = spark.createDataFrame([(text, "l", "s")], "text string, lang string, source string")
+    row = di.led_terms(clean).first()
+    found = Counter(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text)))
+    assert dict(zip(row["terms"], row["counts"])) == {f"l\x01{t}": n for t, n in found.items()}
