@@ -166,6 +166,12 @@ def test_passages(spark):
     assert passages.repeated_passages(docs(spark, [])).collect() == []
 
 
+def test_the_cut_moves_each_text_once(spark):
+    """One join for cut and uncut documents, the same at every size, that sorts no texts."""
+    plan = passages.without_repeats(docs(spark, passage_docs()))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == plan.count("ShuffledHashJoin") == 1 and "Sort " not in plan
+
+
 def test_a_passage_whose_parts_came_earlier(spark):
     """Four documents have 40 words of a passage each, two have all its 100 words."""
     whole = words(70, 100)
