@@ -1,14 +1,16 @@
 """How far sources of one language differ in their words: exact, from sparse document vectors.
 
-A document's sparse vector is its different terms and their counts, two arrays of a written table. Terms are
-led by their language, so that one ``CountVectorizer`` with a least document frequency and the largest integer as
-vocabulary size serves all languages in one fit, on the different terms, as only document frequencies decide.
-The vectors are summed per (language, source) as ``Summarizer`` does, with partial sums in each task, but as
-long integers and only where a count is not 0; of the sums, the vocabulary's terms stay. Turning terms into
+A document's sparse vector is its different terms and their counts. Terms are led by their language, so that one
+``CountVectorizer`` with a least document frequency and the largest integer as vocabulary size serves all languages in
+one fit. Only document frequencies decide it, and none above the least one matters: so a task hands on lists of
+different terms in which a term stands as often as it has documents there, but not more often than the least document
+frequency. A term is in that many lists exactly if it is in that many documents, however texts lie in tasks.
+The vectors are summed per (language, source) as ``Summarizer`` does, with partial sums in the task that makes them, but
+as long integers and only where a count is not 0; of the sums, the vocabulary's terms stay. Turning terms into
 the vectorizer's indices and back would read every token once more (README has the figures).
 
-``CountVectorizer`` holds its vocabulary on the driver and sends it to all tasks. A kept term takes up
-``LEAST_DOCUMENTS`` or more of the pairs of document and different term, which bounds their number; where that bound is
+``CountVectorizer`` holds its vocabulary on the driver and sends it to all tasks. A kept term stands in
+``LEAST_DOCUMENTS`` or more of the lists, whose length thus bounds the number of kept terms; where that bound is
 above ``MOST_TERMS``, the number of all different terms is estimated. If that is above it too, the same
 counts come from grouped tables, and nothing of the vocabulary is collected.
 
@@ -35,55 +37,107 @@ LEAST_DOCUMENTS = 30
 LARGEST_VOCABULARY = 2**31 - 1
 #: Different terms, kept or not, up to which the vocabulary may pass through the driver.
 MOST_TERMS = 5_000_000
-#: Terms handed on at a time, and led terms remembered by a task.
-TERMS_AT_ONCE, REMEMBERED = 200_000, 1 << 18
+#: Words and texts summed by a task at a time, bytes of text split at a time, rows handed to Python, and terms in a row.
+WORDS_AT_ONCE, TEXT_AT_ONCE, ROWS_AT_ONCE, TERMS_IN_ROW = 3_000_000, 4 << 20, 1_000, 20_000
 SCALE, SMOOTHING, TERM_RANKS = 1_000_000_000, 5, 50
 
 
-def led_terms(clean: DataFrame) -> DataFrame:
-    """``lang, source, terms, counts``: the different terms of every text (``text, lang, source``), lower-cased in
-    A-Z only and led by their language, and how often each occurs."""
-    in_term, mark, at_once, remembered = IN_TERM, MARK.encode(), TERMS_AT_ONCE, REMEMBERED
+def led_terms(clean: DataFrame, least_documents: int = LEAST_DOCUMENTS, words_at_once: int = WORDS_AT_ONCE) -> DataFrame:
+    """``lang, source, terms, counts``: the different terms of the texts (``text, lang, source``) of a task, lower-cased
+    in A-Z only and led by their language, and how often each occurs; and, with neither, ``once``: lists of led terms,
+    each once in a list and in as many lists as it has documents, up to ``least_documents``."""
+    in_term, mark, at_once, text_at_once, most = IN_TERM, MARK.encode(), words_at_once, TEXT_AT_ONCE, TERMS_IN_ROW
 
     def run(batches: Iterator) -> Iterator:
-        from collections import Counter
-        from itertools import chain
-
         import numpy as np
         import pyarrow as pa
-
-        known: dict[bytes, dict[bytes, bytes]] = {}
-
-        def led(lang: bytes, terms) -> list[bytes]:
-            own = known.setdefault(lang, {})
-            if len(own) > remembered:
-                own.clear()
-            return [own.get(t) or own.setdefault(t, lang + mark + t) for t in terms]
-
-        def packed(rows: list) -> pa.RecordBatch:
-            langs, sources, lists, counts = zip(*rows)
-            ends = pa.array(np.cumsum([0, *map(len, lists)], dtype="i4"))
-            terms = pa.ListArray.from_arrays(ends, pa.array([*chain.from_iterable(lists)], pa.string()))
-            numbers = pa.ListArray.from_arrays(ends, pa.array(np.fromiter(chain.from_iterable(counts), "i8", ends[-1].as_py())))
-            columns = [pa.array(langs, pa.string()), pa.array(sources, pa.string()), terms, numbers]
-            return pa.RecordBatch.from_arrays(columns, ["lang", "source", "terms", "counts"])
+        import pyarrow.compute as pc
+
+        low, listed = np.int64(0xFFFFFFFF), pa.list_(pa.string())
+
+        class Numbers(dict):
+            def __missing__(self, value) -> int:
+                self[value] = number = len(self)
+                return number
+
+        groups, langs, known = Numbers(), Numbers(), Numbers()  # (lang, source), lang and term of the texts since the last row
+        words, pairs, size = [], [], 0
+
+        def parts(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+            """Stretches of texts with all that is in no term turned into spaces, and where they begin."""
+            column = column.cast(pa.large_binary())
+            ends = np.frombuffer(column.buffers()[1], "i8")[column.offset : column.offset + len(column) + 1]
+            start = 0
+            while start < len(column):
+                end = max(start + 1, int(np.searchsorted(ends, ends[start] + text_at_once, "right")) - 1)
+                data = bytes(memoryview(column.buffers()[2] or b"")[ends[start] : ends[end]]).translate(in_term)
+                places = pa.py_buffer((ends[start : end + 1] - ends[start]).astype("i8"))
+                yield start, pa.LargeStringArray.from_buffers(end - start, places, pa.py_buffer(data))
+                start = end
+
+        def rows(keys: np.ndarray, leads: list[bytes], terms: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array]:
+            """Of sorted keys (group and term): each row's group, its ends, and all led terms. All groups have a row."""
+            of, n = keys >> 32, len(leads)
+            starts = np.searchsorted(of, np.arange(n))
+            more = np.setdiff1d(np.arange(0, len(keys), most), starts)
+            place, group = np.concatenate([starts, more]), np.concatenate([np.arange(n), of[more]])
+            order = np.lexsort((group, place))
+            led = pc.binary_join_element_wise(pa.array(leads, pa.binary()).take(pa.array(of)), terms.take(pa.array(keys & low)), pa.scalar(b"", pa.binary()))
+            return group[order], pa.array(np.append(place[order], len(keys)).astype("i4")), led.cast(pa.string())
+
+        def table(own: list, sources: list, terms: pa.Array | None, counts: pa.Array | None, once: pa.Array | None) -> pa.RecordBatch:
+            none = lambda kind: pa.nulls(len(own), kind)
+            lists = [terms or none(listed), counts or none(pa.list_(pa.int64())), once or none(listed)]
+            strings = [pa.array(c, pa.binary()).cast(pa.string()) for c in (own, sources)]
+            return pa.RecordBatch.from_arrays([*strings, *lists], ["lang", "source", "terms", "counts", "once"])
+
+        def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """The different keys in order and how often each occurs; the keys are sorted where they lie."""
+            keys.sort()
+            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+            return keys[starts], np.diff(starts, append=len(keys))
+
+        def summed() -> Iterator[pa.RecordBatch]:
+            keys, n = counted(np.concatenate(words))
+            words.clear()
+            names, terms = [*groups], pa.array([*known], pa.binary())
+            group, ends, led = rows(keys, [lang + mark for lang, _ in names], terms)
+            lists = pa.ListArray.from_arrays(ends, led), pa.ListArray.from_arrays(ends, pa.array(n.astype("i8")))
+            yield table([names[g][0] for g in group], [names[g][1] for g in group], *lists, None)
+            keys, n = counted(np.concatenate(pairs))
+            pairs.clear()
+            names = [*langs]
+            for least in range(min(least_documents, int(n.max(initial=0)))):
+                group, ends, led = rows(keys[n > least], [lang + mark for lang in names], terms)
+                yield table([names[g] for g in group], [None] * len(group), None, None, pa.ListArray.from_arrays(ends, led))
 
         for batch in batches:
-            rows, size = [], 0
-            for text, lang, source in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "source"))):
-                found = Counter(text.translate(in_term).split())
-                rows.append((lang, source, led(lang, found), found.values()))
-                size += len(found) + 1
+            own, sources = (batch.column(c).to_pylist() for c in ("lang", "source"))
+            for start, texts in parts(batch.column("text")):
+                end = start + len(texts)
+                group = np.fromiter((groups[g] for g in zip(own[start:end], sources[start:end])), "i8", len(texts))
+                lang = np.fromiter((langs[x] for x in own[start:end]), "i8", len(texts))
+                split = pc.ascii_split_whitespace(texts)
+                doc = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+                found = split.flatten()
+                real = pc.not_equal(found, "")
+                found, doc = found.filter(real).cast(pa.large_binary()).dictionary_encode(), doc[real.to_numpy(zero_copy_only=False)]
+                numbers = np.fromiter(map(known.__getitem__, found.dictionary.to_pylist()), "i8", len(found.dictionary))
+                term = numbers[found.indices.to_numpy()]
+                pair = counted(doc << 32 | term)[0]
+                words.append(group[doc] << 32 | term)
+                pairs.append(lang[pair >> 32] << 32 | pair & low)
+                size += len(term) + len(texts)
                 if size >= at_once:
-                    yield packed(rows)
-                    rows, size = [], 0
-            if rows:
-                yield packed(rows)
-            if len(known) > 1_000:
-                known.clear()
+                    yield from summed()
+                    size = 0
+                    for names in (groups, langs, known):
+                        names.clear()
+        if size:
+            yield from summed()
 
     raw = clean.select(*[F.col(c).cast("binary").alias(c) for c in ("text", "lang", "source")])
-    return raw.mapInArrow(run, "lang string, source string, terms array<string>, counts array<bigint>")
+    return raw.mapInArrow(run, "lang string, source string, terms array<string>, counts array<bigint>, once array<string>")
 
 
 def _split(term: Column) -> list[Column]:
@@ -96,14 +150,14 @@ def _split(term: Column) -> list[Column]:
 
 def vocabulary_by_vectorizer(vectors: DataFrame, least_documents: int) -> DataFrame:
     """The kept led terms, as ``t``."""
-    counter = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least_documents), vocabSize=LARGEST_VOCABULARY)
-    model = counter.fit(vectors.select("terms"))
+    counter = CountVectorizer(inputCol="once", outputCol="vector", minDF=float(least_documents), vocabSize=LARGEST_VOCABULARY)
+    model = counter.fit(vectors.where("once is not null").select("once"))
     return vectors.sparkSession.createDataFrame([(t,) for t in model.vocabulary], "t string")
 
 
 def vocabulary_by_table(vectors: DataFrame, least_documents: int) -> DataFrame:
     """The same by grouping alone, for a vocabulary of any size; terms of a task are combined before they are shuffled."""
-    once = vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("documents"))
+    once = vectors.select(F.explode("once").alias("t")).groupBy("t").agg(F.count("*").alias("documents"))
     return once.where(F.col("documents") >= least_documents).select("t")
 
 
@@ -136,10 +190,10 @@ def audit(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, most_terms: i
     source have each count, not the terms.
     """
     clean = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    vectors = written(led_terms(clean), "term-vectors")
-    most = (vectors.agg(F.sum(F.size("terms"))).first()[0] or 0) // least_documents
+    vectors = written(led_terms(clean, least_documents), "term-vectors", ROWS_AT_ONCE)
+    most = (vectors.where("once is not null").agg(F.sum(F.size("once"))).first()[0] or 0) // least_documents
     if most > most_terms:
-        most = vectors.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t")).first()[0]
+        most = vectors.select(F.explode("once").alias("t")).agg(F.approx_count_distinct("t")).first()[0]
     vocabulary = vocabulary_by_vectorizer if most <= most_terms else vocabulary_by_table
     led = written(vocabulary(vectors, least_documents), "kept-terms")
     counts = written(group_sums(vectors, led), "term-counts")
@@ -148,7 +202,7 @@ def audit(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, most_terms: i
     sizes = kept.groupBy("lang").agg(F.count("*").alias("v"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("present"))
     groups = written(
-        vectors.select("lang", "source").distinct()
+        vectors.where("source is not null").select("lang", "source").distinct()
         .join(totals, ["lang", "source"], "left")
         .join(sizes, "lang", "left")
         .select("lang", "source", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("total", "present", "v")])

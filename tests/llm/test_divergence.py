@@ -82,3 +82,29 @@ def test_all_bytes_part_terms_as_the_pattern_does(spark):
     row = di.led_terms(clean).first()
     found = Counter(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text)))
     assert dict(zip(row["terms"], row["counts"])) == {f"l\x01{t}": n for t, n in found.items()}
+
+
+@pytest.mark.parametrize("at_once", [1, 40, di.WORDS_AT_ONCE])
+def test_a_task_hands_on_sums(spark, at_once):
+    """One sum per term and group, and a term in as many lists as it has documents there, up to the least number."""
+    rows = [(f"The word é the w{i} {'x ' * (i % 3)}1", "l", "s" if i % 4 else "") for i in range(100)] + [("", "l", "none")]
+    clean = spark.createDataFrame(rows, "text string, lang string, source string").coalesce(1)
+    table = di.led_terms(clean, 30, words_at_once=at_once).collect()
+    sums, lists = Counter(), Counter()
+    for r in table:
+        assert (r["once"] is None) != (r["source"] is None) and r["lang"] == "l"
+        assert r["once"] is None or len(set(r["once"])) == len(r["once"])
+        lists.update(r["once"] or [])
+        for t, n in zip(r["terms"] or [], r["counts"] or []):
+            sums[r["source"], t] += n
+    expected, documents = Counter(), Counter()
+    for text, _, source in rows:
+        found = re.findall("[a-zé]+", text.lower())
+        expected.update((source, f"l\x01{t}") for t in found)
+        documents.update(f"l\x01{t}" for t in set(found))
+    assert sums == expected and {r["source"] for r in table} == {"s", "", "none", None}
+    if at_once < di.WORDS_AT_ONCE:
+        assert {t: min(n, 30) for t, n in lists.items()} == {t: min(n, 30) for t, n in documents.items()}
+    else:
+        assert lists == {t: min(n, 30) for t, n in documents.items()}
+        assert len(table) == 3 + 30
