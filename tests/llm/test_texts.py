@@ -318,3 +318,28 @@ def test_running_attention_equals_the_whole(spark, n):
     expected = 1 / (1 + np.exp(-(weights @ hidden @ m["o"])))
     got = passage_quality.score(docs(spark, [text]), m).first()["score"]
     assert math.isclose(got, expected, rel_tol=1e-9)
+
+
+def test_python_gets_few_whole_texts_at_a_time(spark):
+    from reviewrank.session import written
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    name, table = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.range(0, 250, 1, 1).mapInArrow(sizes, "n bigint")
+    before = spark.conf.get(name)
+    assert sorted(r.n for r in written(table, "sizes", 100).collect()) == [50, 100, 100]
+    assert spark.conf.get(name) == before
+    assert [r.n for r in written(table, "sizes").collect()] == [250]
+
+
+def test_cut_in_slices(spark, monkeypatch):
+    """Texts are told apart wherever they lie in a batch."""
+    shared = " ".join(words(5, 60))
+    texts = [f"é{i} {' '.join(words(100 + i, 8))}" + (f" {shared} end{i}" if i % 3 else "") for i in range(14)]
+    monkeypatch.setattr(passages, "ROWS_AT_ONCE", 3)
+    got = {r.doc_id: r.text for r in passages.without_repeats(docs(spark, texts).coalesce(1)).collect()}
+    assert got == {i: t.replace(f" {shared} ", "  ") if i > 1 else t for i, t in enumerate(texts)}
