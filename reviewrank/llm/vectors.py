@@ -4,13 +4,17 @@ Unit vectors within the distance that a cosine allows are linked. Vectors are ro
 axes, sorted by the grid cells of the leading ones, and cut into blocks by their rank in that order. A
 tree of boxes stands over the sequence of blocks; starting with the whole sequence against itself, pairs
 of intervals are split again and again, and pairs whose boxes are provably farther apart than the distance
-are skipped. What is left are pairs of blocks, which are compared in one task each, in double precision on
-the vectors as given. A pair of blocks returns, for each vector, how many it is linked with and one root
-of its component inside the pair, so no task and no table holds the links one by one.
+are skipped. What is left are pairs of blocks, which are compared one by one, in double precision on
+the vectors as given. A task returns, for each vector, how many it is linked with and one root of its
+component among the pairs of the task, and holds the links of one pair at a time; no table holds them.
 
 Equal vectors are grouped first and compared once. The principal axes come from the second moments of all
 vectors; they steer the order only, the result is exact whatever they are.
 
+Pairs of blocks are dealt to tasks as tiles: a stretch of the sequence against a stretch, with the pairs
+between them. A block goes once to each tile that needs it, so what is moved grows with the number of
+stretches, which is bounded while a stretch fits a task's memory, and not with the number of pairs.
+
 Defined cases: null, zero and non-finite vectors, vectors with null components and vectors of another
 length than most (the shorter of equals) link with nothing; rows that repeat a vec_id count as one, with
 the smallest vector; rows with a null vec_id are left out; other columns are not read.
@@ -31,6 +35,8 @@ from reviewrank.session import written
 #: Leading axes in the grid order, cells per distance, vectors of a block and of one row of it, and
 #: intervals under one node of the tree.
 AXES, CELLS, BLOCK, PAGE, FAN = 8, 2, 2048, 256, 8
+#: Bytes of vectors in one side of a tile.
+TILE_BYTES = 32 << 20
 #: Slack for rounding when boxes are compared.
 SLACK = 1e-9
 
@@ -154,56 +160,78 @@ def _near_blocks(pages: DataFrame, blocks: int, size: int, distance: float) -> D
     return pairs
 
 
-def _links(pages: DataFrame, pairs: DataFrame, size: int, least: float, kind: str) -> DataFrame:
-    """``rep, root, links`` for every linked vector of every pair of blocks."""
-    sides = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+def _tile(blocks: int, block: int, size: int, cores: int) -> int:
+    """Blocks in one side of a tile: as many as leave each core a few tiles, and fit a task's memory."""
+    stretches = math.ceil(math.sqrt(8 * cores))
+    return max(1, min(-(-blocks // stretches), TILE_BYTES // (block * size * 8)))
+
+
+def _links(pages: DataFrame, pairs: DataFrame, tile: int, size: int, least: float, kind: str) -> DataFrame:
+    """``rep, root, links`` for every linked vector of every tile of pairs of blocks."""
+    tiled = pairs.select(F.floor(F.col("a") / tile).alias("ta"), F.floor(F.col("b") / tile).alias("tb"), "a", "b")
+    ends = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("block"), F.col("b").alias("mate")))).otherwise(
+        F.array(F.struct(F.col("a").alias("block"), F.col("b").alias("mate")), F.struct(F.col("b").alias("block"), F.lit(None).cast("bigint").alias("mate")))
+    )
+    # A block's mates are at most the blocks of a side.
+    sides = tiled.select("ta", "tb", F.inline(ends)).groupBy("ta", "tb", "block").agg(F.collect_list("mate").alias("mates"))
+    sides = written(sides, "tile-sides")
     content = sides.join(pages.select("block", "reps", "copies", "vectors"), "block")
+    tiles = sides.select("ta", "tb").distinct().count()
 
     def compare(table):
         import numpy as np
         import pyarrow as pa
 
-        a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
-        rows = table.select(["block", "reps", "copies", "vectors"]).to_pylist()
-
-        def side(block: int):
-            own = sorted((r["reps"], r["copies"], r["vectors"]) for r in rows if r["block"] == block)
-            reps, copies = (np.frombuffer(b"".join(r[i] for r in own), "i8") for i in (0, 1))
-            x = np.frombuffer(b"".join(r[2] for r in own), kind).astype(float).reshape(-1, size)
-            return reps, copies, x / np.linalg.norm(x, axis=1, keepdims=True)
-
-        ra, ca, xa = side(a)
-        rb, cb, xb = (ra, ca, xa) if a == b else side(b)
-        n = len(ra)
-        links = np.zeros(n if a == b else n + len(rb), "i8")
-        label = np.arange(len(links))
-        shift = 0 if a == b else n
-        us, vs = [], []
-        for i in range(0, n, 512):
-            near = xa[i : i + 512] @ xb.T >= least
-            if a == b:
-                near[np.arange(len(near)), np.arange(i, i + len(near))] = False
-            links[i : i + len(near)] += near @ cb
-            if a != b:
-                links[n:] += ca[i : i + len(near)] @ near
-            u, v = np.nonzero(near)
-            us.append((u + i).astype("i4"))
-            vs.append((v + shift).astype("i4"))
-        u, v = np.concatenate(us), np.concatenate(vs)
-        while len(u):  # the smallest label of both ends, then of the label's own label
-            low = np.minimum(label[u], label[v])
-            new = label.copy()
-            np.minimum.at(new, u, low)
-            np.minimum.at(new, v, low)
-            new = new[new]
-            if (new == label).all():
-                break
-            label = new
-        reps = ra if a == b else np.concatenate([ra, rb])
+        rows = table.select(["block", "mates", "reps", "copies", "vectors"]).to_pylist()
+        mates = {r["block"]: r["mates"] for r in rows}
+        own: dict = {block: [] for block in sorted(mates)}
+        for r in rows:
+            own[r["block"]].append((r["reps"], r["copies"], r["vectors"]))
+        reps, copies, packed, start, n = [], [], {}, {}, 0
+        for block, parts in own.items():
+            parts.sort()
+            reps.append(np.frombuffer(b"".join(p[0] for p in parts), "i8"))
+            copies.append(np.frombuffer(b"".join(p[1] for p in parts), "i8"))
+            packed[block] = b"".join(p[2] for p in parts)
+            start[block], n = n, n + len(reps[-1])
+        del rows, own
+        reps, copies = np.concatenate(reps), np.concatenate(copies)
+        links, label = np.zeros(n, "i8"), np.arange(n)
+
+        def unit(block: int):
+            x = np.frombuffer(packed[block], kind).astype(float).reshape(-1, size)
+            return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+        for a, others in mates.items():
+            xa = unit(a) if others else None
+            for b in sorted(others):
+                xb = xa if a == b else unit(b)
+                at, to = start[a], slice(start[b], start[b] + len(xb))
+                us, vs = [], []
+                for i in range(0, len(xa), 512):
+                    near = xa[i : i + 512] @ xb.T >= least
+                    here = slice(at + i, at + i + len(near))
+                    if a == b:
+                        near[np.arange(len(near)), np.arange(i, i + len(near))] = False
+                    else:
+                        links[to] += copies[here] @ near
+                    links[here] += near @ copies[to]
+                    u, v = np.nonzero(near)
+                    us.append((u + here.start).astype("i4"))
+                    vs.append((v + to.start).astype("i4"))
+                u, v = label[np.concatenate(us)], label[np.concatenate(vs)]
+                while (apart := u != v).any():  # roots take the smallest root that they are linked with
+                    u, v = u[apart], v[apart]
+                    np.minimum.at(label, np.maximum(u, v), np.minimum(u, v))
+                    while ((up := label[label]) != label).any():
+                        label = up
+                    u, v = label[u], label[v]
         found = np.flatnonzero(links)
         return pa.table({"rep": reps[found], "root": reps[label[found]], "links": links[found]})
 
-    return content.groupBy("a", "b").applyInArrow(compare, "rep bigint, root bigint, links bigint")
+    # Comparing is work for the processor: keep the tiles apart.
+    parts = max(1, min(tiles, pages.sparkSession.sparkContext.defaultParallelism * 4))
+    return content.repartition(parts, "ta", "tb").groupBy("ta", "tb").applyInArrow(compare, "rep bigint, root bigint, links bigint")
 
 
 def linked_vectors(vectors: DataFrame, least: float = 0.9, block: int = BLOCK) -> DataFrame:
@@ -224,9 +252,11 @@ def linked_vectors(vectors: DataFrame, least: float = 0.9, block: int = BLOCK) -
     axes = _axes(distinct, size)
     ranked = _ranked(_in_grid_order(distinct, axes, max(distance, 1e-6) / CELLS), count, block)
     pages = written(_pages(ranked, axes, PAGE), "pages")
-    pairs = _near_blocks(pages, -(-count // block), size, distance)
+    blocks = -(-count // block)
+    pairs = _near_blocks(pages, blocks, size, distance)
     kind = "f8" if "double" in rows.schema["embedding"].dataType.simpleString() else "f4"
-    links = written(_links(pages, pairs, size, least, kind), "vector-links")
+    tile = _tile(blocks, block, size, rows.sparkSession.sparkContext.defaultParallelism)
+    links = written(_links(pages, pairs, tile, size, least, kind), "vector-links")
     groups = components(links, "rep", "root")
     others = links.groupBy("rep").agg(F.sum("links").alias("others"))
     by_rep = distinct.join(others, "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(

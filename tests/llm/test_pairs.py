@@ -10,9 +10,11 @@ import numpy as np
 import pytest
 import xxhash
 
+from reviewrank.llm import vectors
 from reviewrank.llm.components import components
 from reviewrank.llm.simhash import as_hex, near_fingerprints, one_of_each_group, simhash_groups
 from reviewrank.llm.vectors import linked_vectors
+from reviewrank.session import written
 
 from .cases import ODD, docs, words
 
@@ -112,3 +114,32 @@ def test_linked_vectors(spark):
     assert got == expected
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert linked_vectors(empty).collect() == []
+
+
+def test_blocks_go_to_few_tiles(spark, monkeypatch):
+    """All pairs of 40 blocks are compared; a block is sent to one tile per stretch, not to one task per block."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(320, 6))
+    x[1::2] = x[::2] + rng.normal(size=(160, 6)) * 0.1
+    tables = {}
+
+    def kept(table, name, *more):
+        tables.setdefault(name, []).append(written(table, name, *more))
+        return tables[name][-1]
+
+    monkeypatch.setattr(vectors, "written", kept)
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in linked_vectors(rows, least=0.5, block=8).collect()}
+    m = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = m @ m.T >= 0.5
+    roots = Roots()
+    for i, j in zip(*np.nonzero(near)):
+        roots.join(int(i), int(j))
+    assert got == {i: (int(near[i].sum()) - 1, roots.root(i)) for i in range(len(x))}
+    pairs, stretches = tables["block-pairs"][-1].count(), math.ceil(math.sqrt(8 * spark.sparkContext.defaultParallelism))
+    assert pairs > 600 and tables["tile-sides"][0].count() <= 40 * stretches
+
+
+def test_a_side_of_a_tile_fits_its_bytes():
+    assert [vectors._tile(n, 2048, 64, 12) for n in (1, 10, 11, 300, 10**6)] == [1, 1, 2, 30, 32]
+    assert vectors._tile(10**6, 2048, 10**5, 12) == 1
