@@ -116,6 +116,22 @@ def hash52(*parts: Column | str | int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
 
 
+def packed(names: list[str], out: str) -> dict[str, Column]:
+    """Whole numbers as columns ``out`` and ``out_large`` for ``unpacked``: one number with some bits of each, which is
+    short in a shuffle. Where one is null, negative or needs more bits, they stand in the struct ``out_large`` as they are."""
+    bits = 63 // len(names)
+    small = reduce(lambda a, b: a & b, [F.coalesce(F.col(n).between(0, 2**bits - 1), F.lit(False)) for n in names])
+    total = reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(F.col(n).cast("bigint"), bits * i) for i, n in enumerate(names)])
+    return {out: F.when(small, total), f"{out}_large": F.when(~small, F.struct(*names))}
+
+
+def unpacked(names: list[str], out: str, kinds: dict[str, str]) -> dict[str, Column]:
+    """The columns that ``packed`` put together, with their types."""
+    bits = 63 // len(names)
+    one = [F.shiftright(F.col(out), bits * i).bitwiseAND(F.lit(2**bits - 1)).cast(kinds[n]) for i, n in enumerate(names)]
+    return {n: F.when(F.col(out).isNotNull(), c).otherwise(F.col(f"{out}_large")[n]) for n, c in zip(names, one)}
+
+
 def is_weekend(c: Column) -> Column:
     return F.dayofweek(c).isin(1, 7)
 

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewrank.functions.expr import is_weekend, wall_clock_seconds
-from reviewrank.schema import CLAIMS, require_columns
+from reviewrank.functions.expr import is_weekend, packed, unpacked, wall_clock_seconds
+from reviewrank.schema import CLAIMS, COUNT_COLUMNS, OPTIONAL_CLAIM_TYPES, require_columns
 from reviewrank.session import few, written
 
 DAY = 86_400
@@ -67,11 +67,11 @@ def trailing_counts(claims: DataFrame, key: str, days: int = 30) -> DataFrame:
     block = F.floor(F.col("_instant") / F.lit(long))
     late = F.pmod(F.col("_instant"), F.lit(long)) >= F.lit(long - span)
     ahead = F.when(late, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    placed = counted.withColumn("_ahead", F.explode(ahead)).withColumn("_block", block + F.col("_ahead"))
+    placed = counted.withColumn("_ahead", F.explode(ahead)).withColumn("_block", block + F.col("_ahead")).drop("_ahead")
     window = Window.partitionBy(key, "_block").orderBy("_instant").rangeBetween(-span, 0)
     return (
         placed.withColumn("trailing", F.sum("same").over(window))
-        .filter("_ahead = 0")
+        .filter(F.col("_block") == block)
         .select(key, "_instant", "same", "trailing")
     )
 
@@ -192,44 +192,53 @@ def with_duplicate_indicator(claims: DataFrame, source: DataFrame | None = None,
     return marked.withColumn("duplicate_indicator", copied.cast("int")).drop("_is_dup", "_is_lone", *[f"_lone_{c}" for c in DUPLICATE_FIELDS])
 
 
-def with_row_features(claims: DataFrame) -> DataFrame:
-    return claims.withColumns(
-        {
-            "paid_amount_log": F.log1p("paid_amount"),
-            "weekend_service": F.coalesce(is_weekend(F.col("service_date")), F.lit(False)).cast("int"),
-        }
-    )
+#: Features that follow from one column of the same row.
+ROW_FEATURES = {"paid_amount_log": "paid_amount", "weekend_service": "service_date"}
+
+
+def with_row_features(claims: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Adds the row features, or those of ``names``."""
+    features = {
+        "paid_amount_log": lambda: F.log1p("paid_amount"),
+        "weekend_service": lambda: F.coalesce(is_weekend(F.col("service_date")), F.lit(False)).cast("int"),
+    }
+    return claims.withColumns({n: make() for n, make in features.items() if names is None or n in names})
 
 
 def claim_features(claims: DataFrame, days: int = 30, ties: str = "peers") -> DataFrame:
     """All model features. Extra columns pass through.
 
     Claims are shuffled once for the provider's counts, once for the beneficiary's and, only if shared
-    hashes are above ``MOST_SHARED``, once more for the copies. Statistics of few providers are broadcast; those of many
-    share one table per (provider, instant) with the counts.
+    hashes are above ``MOST_SHARED``, once more for the copies; their counts travel as one number, and their date as the instant. Statistics of few
+    providers are broadcast behind both shuffles; those of many share one table per (provider, instant) with the counts.
     """
     base = typed_claims(claims)
+    kinds = dict(base.dtypes)
+    whole = [c for c in (*COUNT_COLUMNS, *OPTIONAL_CLAIM_TYPES) if kinds.get(c) in ("bigint", "int")]
+    carried = base.withColumns(packed(whole, "_whole")).drop(*whole)
     if ties == "peers":
-        counts = trailing_counts(base, "provider_id", days).drop("same")
+        counts = trailing_counts(base, "provider_id", days).withColumnRenamed("trailing", "provider_claim_count_30d").drop("same")
         statistics = written(provider_statistics(base), "provider-statistics")
-        timed = base.withColumn("_instant", _instant())
-        if few(statistics, MOST_PROVIDERS):
-            placed = timed.join(counts, ["provider_id", "_instant"], "left").join(F.broadcast(statistics), "provider_id", "left")
+        # The date is the instant and what a second leaves out, so only that goes along.
+        parts = F.unix_micros("service_date") - F.col("_instant") * 1_000_000
+        timed = carried.withColumn("_instant", _instant()).withColumn("_rest", F.when(F.col("service_date").isNotNull(), parts)).drop("service_date")
+        broadcast = few(statistics, MOST_PROVIDERS)
+        if broadcast:
+            placed = timed.join(counts, ["provider_id", "_instant"], "left")
         else:
             placed = timed.join(counts.join(statistics, "provider_id"), ["provider_id", "_instant"], "left")
-        featured = (
-            placed.withColumn("provider_paid_zscore", _zscore())
-            .withColumnRenamed("trailing", "provider_claim_count_30d")
-            .drop("_instant", "_mean", "_std")
-        )
+            placed = placed.withColumn("provider_paid_zscore", _zscore()).drop("_mean", "_std")
+        seen = trailing_counts(base, "beneficiary_id", days).withColumnRenamed("trailing", "beneficiary_claim_count_30d").drop("same")
+        date = F.when(F.col("_rest").isNotNull(), F.timestamp_micros(F.col("_instant") * 1_000_000 + F.col("_rest")))
+        featured = placed.join(seen, ["beneficiary_id", "_instant"], "left").withColumn("service_date", date).drop("_instant", "_rest")
+        if broadcast:
+            featured = featured.join(F.broadcast(statistics), "provider_id", "left")
+            featured = featured.withColumn("provider_paid_zscore", _zscore()).drop("_mean", "_std")
     else:
-        featured = with_provider_zscore(base)
-        featured = with_trailing_count(
-            featured, "provider_id", "provider_claim_count_30d", days, ties, source=base
-        )
-    featured = with_trailing_count(
-        featured, "beneficiary_id", "beneficiary_claim_count_30d", days, ties, source=base
-    )
+        featured = with_provider_zscore(carried)
+        for key, out in (("provider_id", "provider_claim_count_30d"), ("beneficiary_id", "beneficiary_claim_count_30d")):
+            featured = with_trailing_count(featured, key, out, days, ties, source=base)
+    featured = featured.withColumns(unpacked(whole, "_whole", kinds))
     featured = with_duplicate_indicator(featured, source=base)
     derived = [
         "paid_amount_log",

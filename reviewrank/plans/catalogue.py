@@ -268,8 +268,13 @@ def category_counts(spark, sf_dir):
 # --- ensemble and evaluation ---------------------------------------------------------------------
 
 
-def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ensemble.combine_scores(views.ruled(spark, sf_dir), 0.90, 0.05)
+def _ranked(spark: SparkSession, sf_dir: str, columns: list[str] | None = None, codec: str | None = None) -> DataFrame:
+    """Ranked claims; ``columns`` are what a query reads of them, where it doesn't read them all."""
+    return ensemble.combine_scores(views.ruled(spark, sf_dir, columns, codec), 0.90, 0.05)
+
+
+#: What a queue shows of a claim besides its scores.
+SHOWN = ["claim_id", "claim_type", "paid_amount"]
 
 
 def _ranked_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,7 +338,7 @@ def evaluate_flagged(spark, sf_dir):
 
 def _text_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranked claims as a scored text file may hold them: flags and codes written in several ways."""
-    ranked = _ranked(spark, sf_dir)
+    ranked = _ranked(spark, sf_dir, [*SHOWN, "ok", evaluate.LABEL])
     codes, form = F.col("rule_reason_codes"), F.col("ok") % 3
     quoted = F.transform(codes, lambda c: F.concat(F.lit("'"), c, F.lit("'")))
     yes = F.when(form == 0, "True").when(form == 1, "1").otherwise(" yes ")
@@ -374,8 +379,8 @@ def csv_scored_queue(spark, sf_dir):
     )
 
 
-def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queue.prepare_queue(_ranked(spark, sf_dir))
+def _queue(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    return queue.prepare_queue(_ranked(spark, sf_dir, columns))
 
 
 @query

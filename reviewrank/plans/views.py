@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewrank.operators.features import claim_features
+from reviewrank.operators.features import ROW_FEATURES, claim_features, with_row_features
 from reviewrank.operators.inject import COPIED_FIELDS, SCENARIOS, donor_table, inject
 from reviewrank.operators.rules import rules_with, score_rules
 from reviewrank.session import written
@@ -87,8 +87,14 @@ def injected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table  # a projection of stored tables
 
 
-def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return written(claim_features(injected(spark, sf_dir)), "features")
+def featured(spark: SparkSession, sf_dir: str, columns: list[str] | None = None, codec: str | None = None) -> DataFrame:
+    """Claims with their features, stored but for those that follow from one row; ``columns`` are what is read of them,
+    ``codec`` is what the table is compressed with."""
+    table = claim_features(injected(spark, sf_dir))
+    wanted = table.columns if columns is None else columns
+    of_row = [c for c in ROW_FEATURES if c in wanted]
+    needed = [*dict.fromkeys([*[c for c in wanted if c not in of_row], *[ROW_FEATURES[c] for c in of_row]])]
+    return with_row_features(written(table.select(needed), "features", codec=codec), of_row).select(wanted)
 
 
 def fixed_model_score() -> Column:
@@ -96,8 +102,10 @@ def fixed_model_score() -> Column:
     return F.floor(F.col("paid_amount") / 500.0) / 200.0 + F.col("units") / 100.0
 
 
-def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_rules(featured(spark, sf_dir), RULES)
+def ruled(spark: SparkSession, sf_dir: str, columns: list[str] | None = None, codec: str | None = None) -> DataFrame:
+    """Claims with both scores; ``columns`` are what is read of them besides the scores' own inputs."""
+    inputs = ["paid_amount", *[rule.column for rule in RULES]]
+    scored = score_rules(featured(spark, sf_dir, columns and [*dict.fromkeys([*columns, *inputs])], codec), RULES)
     return scored.withColumn("model_anomaly_score", fixed_model_score())
 
 

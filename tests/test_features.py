@@ -180,3 +180,19 @@ def test_hot_keys_are_split(spark):
         for key, value in before.items():
             spark.conf.set(key, value)
         spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+
+
+def test_dates_come_back_to_the_microsecond(spark):
+    """A date travels as its instant and a rest: parts of a second, other zones, repeated hours and far years are kept."""
+    micros = [0, 1, -1, 1_730_610_000_123_456, 1_730_613_600_000_000, -62_135_596_800_000_000, 253_402_300_799_999_999, None]
+    rows = [(f"C{i}", "B", "P", "carrier", m, 10.0, 1, 1, 1, 0) for i, m in enumerate(micros)]
+    claims = spark.createDataFrame(rows, CLAIM.replace("service_date string", "service_date bigint")).withColumn("service_date", F.timestamp_micros("service_date"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            table = ft.claim_features(claims)
+            assert by_id(table.withColumn("m", F.unix_micros("service_date")), "m") == {r[0]: r[4] for r in rows}
+            assert "_rest" in plan_of(table)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
