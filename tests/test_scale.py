@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime
 import re
 
 from pyspark.sql import functions as F
 
+from reviewrank.functions import expr
 from reviewrank.operators import ensemble, features, inject, queue, ranking
+from reviewrank.plans import views
 from reviewrank.session import written
-from reviewrank.sources import cms
+from reviewrank.sources import cms, tables
 
 
 def plan_of(df) -> str:
@@ -113,3 +116,55 @@ def test_the_queue_check_names_each_problem_once(spark):
     source = spark.createDataFrame([row], "claim_id string, claim_type string, paid_amount double, model_score_percentile double, rule_score double, ensemble_score double, is_flagged int, rule_reason_codes array<string>")
     plan = queue.prepare_queue(written(source, "scale-queue")).select("claim_id")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ensemble_score lies outside [0, 1]: ") == 1
+
+
+def test_numbers_travel_as_one_and_come_back(spark):
+    """Small numbers become one; nulls, negative and large ones come back as they are, with their types."""
+    rows = [(1, 2, 3), (0, 0, 0), (2**21 - 1, 7, 0), (2**21, 7, 0), (-1, 5, 6), (None, 5, 6), (None, None, None), (2**62, -(2**31), 4)]
+    table = spark.createDataFrame(rows, "a bigint, b int, c bigint")
+    names = table.columns
+    short = table.withColumns(expr.packed(names, "p")).drop(*names)
+    assert [r["p"] is None for r in short.collect()] == [False, False, False, True, True, True, True, True]
+    again = short.withColumns(expr.unpacked(names, "p", dict(table.dtypes))).select(*names)
+    assert again.dtypes == table.dtypes and [tuple(r) for r in again.collect()] == rows
+
+
+def test_claims_are_shuffled_with_one_number_for_their_counts(spark):
+    """The counts of a claim are not among the columns of an exchange of claims; its features are right."""
+    claims = copied_claims(spark).withColumns({"units": F.when(F.col("claim_id") == "d", F.lit(2**40)).otherwise(F.col("units"))})
+    featured = features.claim_features(claims)
+    text = featured._jdf.queryExecution().executedPlan().toString()
+    assert "_whole" in text
+    for c in ("procedure_count", "length_of_stay"):
+        assert not re.search(rf"Exchange hashpartitioning\([^\n]*_instant[^\n]*\n[^\n]*Project \[[^\n]*[^_]{c}#", text)
+    assert {r["claim_id"]: (r["units"], r["length_of_stay"]) for r in featured.collect()} == {r["claim_id"]: (r["units"], r["length_of_stay"]) for r in claims.collect()}
+
+
+def test_row_features_are_not_stored(spark, tmp_path):
+    """Features that follow from one row are made when they are read, not written."""
+    order = "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp"
+    line = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp"
+    day = datetime.datetime(2024, 1, 6)
+    spark.createDataFrame([(1, 5, day), (2, 5, day)], order).write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(1, 1, 1, 1, 3.0, 10.0, 0.04, 0.02, day), (1, 1, 2, 900_000, 3.0, 20.0, None, 0.02, day), (2, 1, 2, 1, None, 30.0, 0.1, 0.0, None)]
+    spark.createDataFrame(lines, line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    table = views.featured(spark, str(tmp_path))
+    stored = [f for f in table.inputFiles() if "/features-" in f]
+    assert stored and "paid_amount_log" not in spark.read.parquet(*stored).columns
+    rows = sorted((r["claim_id"], r["units"], r["diagnosis_count"], r["weekend_service"], round(r["paid_amount_log"], 4)) for r in table.collect())
+    assert rows == [("CLM-1-1", 3, 4, 1, 2.3979), ("CLM-1-900000", 3, None, 1, 3.0445), ("CLM-2-1", None, 10, 0, 3.434)]
+    assert set(views.featured(spark, str(tmp_path), ["claim_id", "paid_amount_log"]).columns) == {"claim_id", "paid_amount_log"}
+
+
+def test_an_export_is_numbered_where_it_lies(spark, tmp_path):
+    """The rows of the files are not shuffled to number them, plain or compressed."""
+    rows = spark.range(3_000).select(F.format_string("C%05d", "id").alias("claim_id"), (F.col("id") * 7 % 3_000 / 3_000.0).alias("ensemble_score"))
+    for codec in (None, "gzip"):
+        path = f"{tmp_path}/{codec}"
+        tables.export_queue(rows.repartition(6), path, codec)
+        again = tables.read_in_order(spark, path)
+        text = plan_of(again)
+        assert "Exchange hashpartitioning(claim_id" not in text and "row_number" not in text
+        found = [r["claim_id"] for r in again.orderBy("place").collect()]
+        assert found == [r["claim_id"] for r in ensemble.by_ensemble(rows).collect()]
+        assert sorted(r["place"] for r in again.collect()) == list(range(1, 3_001))
