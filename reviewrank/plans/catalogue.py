@@ -399,8 +399,8 @@ def queue_filter(spark, sf_dir):
 def export_queue_order(spark, sf_dir):
     """The filtered queue exported as CSV: each claim with its place in the files."""
     path = scratch_path(spark, "export")
-    kept = queue.filter_queue(_queue(spark, sf_dir), minimum_score=0.3, flagged_only=False)
-    tables.export_queue(kept.select(*QUEUE_COLUMNS), path)
+    kept = queue.filter_queue(_queue(spark, sf_dir, SHOWN), minimum_score=0.3, flagged_only=False)
+    tables.export_queue(kept.select(*QUEUE_COLUMNS), path, compression="gzip")
     again = tables.read_in_order(spark, path)
     return again.select("place", "claim_id", "ensemble_score", "is_flagged", "rule_reason_codes")
 
