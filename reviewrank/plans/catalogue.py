@@ -253,7 +253,7 @@ def feature_statistics(spark, sf_dir):
 @query
 def model_matrix(spark, sf_dir):
     """The model inputs: imputed and scaled numbers, and the claim type as the 0/1 columns it stands for."""
-    table = views.featured(spark, sf_dir)
+    table = views.featured(spark, sf_dir, ["claim_id", *NUMERIC_FEATURES, forest.CATEGORICAL_FEATURE])
     info = forest.fit_preparation(table)
     numbers = [np_round(c, 4).alias(n["name"]) for n, c in zip(info["numeric"], forest.prepared_columns(info))]
     kind = forest.category_column(info)
